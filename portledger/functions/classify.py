@@ -35,31 +35,34 @@ def _has_any(text, words):
     return reduce(or_, [text.contains(w) for w in words])
 
 
-def _flags(frozen, dried):
-    # Exactly one flag is set: frozen only, dried only, or neither/both.
-    return {
-        "type_frozen": frozen & ~dried,
-        "type_dried": dried & ~frozen,
-        "type_ambiguous": frozen == dried,
-    }
-
-
 def weekly_type_flags(type_ko, frozen_keywords=FROZEN_KEYWORDS):
     """Weekly rule: the dried syllable counts anywhere in the text unless the text is frozen."""
     text = safe_str(type_ko)
-    frozen = _has_any(text, frozen_keywords)
-    loose = text.contains(DRIED_SYLLABLE) & ~text.contains(HEALTH_KEYWORD) & ~frozen
-    return _flags(frozen, text.contains(DRIED_KEYWORD) | loose)
+    frozen, dried = _has_any(text, frozen_keywords), text.contains(DRIED_KEYWORD)
+    loose = text.contains(DRIED_SYLLABLE) & ~text.contains(HEALTH_KEYWORD)
+    only_frozen, only_dried = frozen & ~dried, ~frozen & (dried | loose)
+    return {
+        "type_frozen": only_frozen,
+        "type_dried": only_dried,
+        "type_ambiguous": ~(only_frozen | only_dried),
+    }
 
 
 def historical_type_flags(type_ko, type_en, frozen_keywords=FROZEN_KEYWORDS):
-    """Historical rule: the dried syllable counts at the start only; blank Korean uses English."""
+    """Historical rule: the dried syllable counts at the start only; blank Korean uses English.
+
+    A text that is frozen and dried at once, or neither, is ambiguous.
+    """
     ko, en = safe_str(type_ko), F.lower(safe_str(type_en))
     blank = ko == ""
     frozen = F.when(blank, en.contains("frozen")).otherwise(_has_any(ko, frozen_keywords))
     leading = ko.startswith(DRIED_SYLLABLE) & ~ko.contains(HEALTH_KEYWORD)
     dried = F.when(blank, en.contains("dried")).otherwise(ko.contains(DRIED_KEYWORD) | leading)
-    return _flags(frozen, dried)
+    return {
+        "type_frozen": frozen & ~dried,
+        "type_dried": dried & ~frozen,
+        "type_ambiguous": frozen == dried,
+    }
 
 
 def is_frozen_product(product_ko, frozen_keywords=FROZEN_KEYWORDS):

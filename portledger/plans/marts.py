@@ -3,6 +3,9 @@
 Each one first counts by raw text values, next to the scan and before any shuffle, and reads numbers
 out of the few remaining year and month texts. A hot importer, year or country is therefore one
 partial count per task when it reaches the shuffle.
+
+Rows to leave out are counted as nothing and their empty groups dropped afterwards. A filter on the
+parsed number would be pushed below the first count and parse the text of every record again.
 """
 
 from pyspark.sql import functions as F
@@ -40,25 +43,29 @@ def _n_where(condition, name):
     return F.sum(F.when(condition, F.col("n")).otherwise(0)).alias(name)
 
 
-def _by_country():
-    return [_n_where(F.col("country") == c, COUNTRY_COLUMNS[c]) for c in COUNTRIES]
+def _by_country(kept):
+    return [_n_where(kept & (F.col("country") == c), COUNTRY_COLUMNS[c]) for c in COUNTRIES]
 
 
 def monthly_by_type(tallied):
     """Counts per calendar month and product type; only months that occur."""
+    kept = (F.col("year") != 0) & (F.col("month") != 0)
     return (
-        tallied.where("year <> 0 AND month <> 0")
-        .groupBy("year", "month")
-        .agg(*[_n_where(F.col("ptype") == t, t) for t in TYPES], F.sum("n").alias("total"))
+        tallied.groupBy("year", "month")
+        .agg(
+            *[_n_where(kept & (F.col("ptype") == t), t) for t in TYPES], _n_where(kept, "total")
+        )
+        .where("total > 0")
     )
 
 
 def yearly_by_country(tallied):
     """Counts per year and country bucket, zero-filled within a year, ascending years."""
+    kept = F.col("year") != 0
     return (
-        tallied.where("year <> 0")
-        .groupBy("year")
-        .agg(*_by_country(), F.sum("n").alias("total"))
+        tallied.groupBy("year")
+        .agg(*_by_country(kept), _n_where(kept, "total"))
+        .where("total > 0")
         .orderBy("year")
     )
 
@@ -68,9 +75,8 @@ def type_country_pivot(tallied, year=None):
 
     Without ``year`` every record counts, also those whose year is no number.
     """
-    if year is not None:
-        tallied = tallied.where(F.col("year") == year)
-    counted = tallied.groupBy("ptype").agg(*_by_country())
+    kept = F.lit(True) if year is None else F.col("year") == year
+    counted = tallied.groupBy("ptype").agg(*_by_country(kept))
     columns = list(COUNTRY_COLUMNS.values())
     # Three rows go into the rollup, so the total costs nothing.
     totalled = counted.rollup("ptype").agg(*[F.sum(c).alias(c) for c in columns])
@@ -92,10 +98,10 @@ def _importer_year_counts(records, order):
     group = F.when(F.col("ko") == "", UNKNOWN_IMPORTER).otherwise(F.col("ko"))
     return (
         seen.select(group.alias("ko"), "en", lenient_int("year").alias("year"), "n", *order)
-        .where("year <> 0")
         .groupBy("ko", "year")
         # The order is unique per record, so the least struct is the first record and its name.
-        .agg(F.sum("n").alias("n"), F.min(F.struct(*order, "en")).alias("first"))
+        .agg(_n_where(F.col("year") != 0, "n"), F.min(F.struct(*order, "en")).alias("first"))
+        .where("n > 0")
     )
 
 

@@ -40,29 +40,45 @@ def historical_rows(files):
     return aligned(historical_records(rows_of_blocks(blocks, HISTORICAL)))
 
 
-def _staged(rows):
-    spark = rows.sparkSession
-    path = scratch_path(spark, "stage")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+class Stage:
+    """Tables of one run in the shared checkpoint folder."""
 
+    def __init__(self, spark):
+        self.spark = spark
+        self.path = scratch_path(spark, "stage")
 
-def ingest(rows, listing, store, batch_id, dry_run=False):
-    """Dedup-append staged rows and write one ledger row per listed file; returns the ledger rows.
+    def table(self, name, df):
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    ``rows`` are record rows plus one status row per decoded file. The ledger is written after the
-    records: a run that stops in between finds its keys stored and repeats without harm.
+    def drop(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ingest(rows, listing, store, batch_id, dry_run=False, stage=None):
+    """Dedup-append ``rows`` and write one ledger row per listed file; returns the ledger rows.
+
+    ``rows`` are record rows plus one status row per decoded file. The listing is written down before
+    the files are read: a file replaced meanwhile shows up with a new time and is taken again. The
+    ledger is written after the records: a run that stops in between finds its keys stored and
+    repeats without harm.
     """
-    staged = _staged(rows)
+    stage = stage or Stage(rows.sparkSession)
+    listed = stage.table("listing", listing)
+    staged = stage.table("rows", rows)
     files = staged.where(F.col("row_idx") == STATUS_ROW).select("src_file", "message")
     batch = staged.where(F.col("row_idx") > STATUS_ROW).drop("message")
     if dry_run:
         written = store.fresh(batch, batch_id)
-    else:
-        store.ensure()
-        written = store.append(batch, batch_id)
-    entries = ledger_rows(listing, ingest_counters(files, batch, written), batch_id)
-    return entries if dry_run else store.write_ledger(entries, batch_id)
+        return ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
+    store.ensure()
+    written = store.append(batch, batch_id)
+    entries = ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
+    entries = store.write_ledger(entries, batch_id)
+    stage.drop()
+    return entries
 
 
 def ledger_rows(listing, counters, batch_id):
@@ -103,7 +119,9 @@ def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, s
         files = spark.read.format("binaryFile").load(escaped(single_file))
         listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
     else:
-        listing = pending_files(list_folder(spark, folder), store.ledger(), folder)
+        # A batch that is run again replaces itself, so its own ledger rows do not count.
+        earlier = store.ledger().where(F.col("batch_id") != batch_id)
+        listing = pending_files(list_folder(spark, folder), earlier, folder)
         files = read_pending(spark, listing, folder)
     if files is None:
         return spark.createDataFrame([], LEDGER_SCHEMA)

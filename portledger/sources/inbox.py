@@ -55,11 +55,10 @@ def escaped(path):
 def read_pending(spark, pending, folder):
     """Contents of the pending files, as ``(path, modificationTime, length, content)``."""
     known = pending.where(F.col("length") <= MAX_WORKBOOK_BYTES).select("path", "modification_time")
-    few = known.limit(MAX_LISTED_PATHS + 1).count() <= MAX_LISTED_PATHS
+    first = [r["path"] for r in known.select("path").take(MAX_LISTED_PATHS + 1)]
     reader = spark.read.format("binaryFile")
-    if few:
-        paths = [escaped(r["path"]) for r in known.collect()]
-        return reader.load(paths) if paths else None
+    if len(first) <= MAX_LISTED_PATHS:
+        return reader.load([escaped(p) for p in first]) if first else None
     # Only files in the pending time range are opened; the join then keeps exactly the pending ones.
     oldest = known.agg(F.min("modification_time")).first()[0]
     files = reader.option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(folder)

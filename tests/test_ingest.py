@@ -1,0 +1,286 @@
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from checks.workbooks import workbook_bytes
+from portledger.plans import marts
+from portledger.plans.ingest import historical_ingest, ledger_totals, load_translations, weekly_ingest
+from portledger.plans.records import typed
+from portledger.schema import HISTORICAL_HEADERS, RECORD_COLUMNS, WEEKLY_HEADERS
+from portledger.sources.store import RecordStore
+from portledger.streaming.inbox_stream import weekly_stream
+
+W, H = list(WEEKLY_HEADERS), list(HISTORICAL_HEADERS)
+DAY = 43845  # 2020-01-15 as a sheet's day count
+
+
+def weekly_row(date="20260515", ko="한국수입사", product="생녹용 500g", kind="생녹용(냉동)", weight="500", no="A1"):
+    return [date, ko, no, "M1", product, "Antler", kind, "뉴질랜드", "러시아", "NZ Exports", weight, 100, None, "뉴질랜드"]
+
+
+def weekly_book(*rows, title=False):
+    return workbook_bytes({"sheet": [*([["조회 결과"]] if title else []), W, *rows]}, shared=True)
+
+
+def historical_book(path, *rows, header=H, sheet="import list"):
+    lookup = [
+        [None, "뉴질랜드", "New Zealand"],
+        [None, "러시아", "Russia"],
+        [None, "Product name (Korean)", "Translation"],
+        [None, "생녹용(냉동)", "Frozen velvet antler"],
+        [None, "Company Korean name", "Company English name"],
+        [None, "한국수입사", "Korea Importer Co"],
+        [None, "Company", "Country"],
+        [None, "NZ Exports", "New Zealand"],
+    ]
+    book = {"cover": [["hello"]], sheet: [["Import list"], header, *rows], "Names for Vlookup": lookup}
+    path.write_bytes(workbook_bytes(book, shared=True, styles=[0, 14]))
+
+
+def historical_row(ko="한국수입사", kind="녹용(건조)", kind_en="Dried", date=(DAY, 1), product="녹용"):
+    return [2020, 1, 15, "Korea Importer", kind_en, "Russia", "New Zealand", ko, product, "Antler", kind, "NZ Exports",
+            date, None, "러시아", "뉴질랜드"]
+
+
+@pytest.fixture
+def world(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    historical_book(tmp_path / "history.xlsx", historical_row())
+    store = RecordStore(spark, str(tmp_path / "store"))
+    return spark, inbox, store, tmp_path
+
+
+def names(world):
+    spark, _, _, tmp = world
+    return load_translations(spark, str(tmp / "history.xlsx"))
+
+
+def run(world, batch_id, **options):
+    spark, inbox, store, _ = world
+    entries = weekly_ingest(spark, str(inbox), store, names(world), batch_id, **options)
+    return {
+        os.path.basename(r["path"]): (r["status"], r["parsed"], r["written"], r["skipped"], r["errors"])
+        for r in entries.collect()
+    }
+
+
+def test_weekly_record(world):
+    spark, inbox, store, _ = world
+    (inbox / "수입식품조회20260515.xlsx").write_bytes(
+        weekly_book(weekly_row(), [None] * 14, weekly_row(ko="미등록수입사", weight="N/A", date="2026/5/1"), title=True)
+    )
+    assert run(world, "w1") == {"수입식품조회20260515.xlsx": ("done", 2, 2, 0, 0)}
+    first, second = store.records().orderBy("row_idx").collect()
+    assert first.asDict() | {"src_file": ""} == dict(
+        year="2026", month="05", day="15", date="2026-05-15", importer_en="Korea Importer Co", importer_ko="한국수입사",
+        product_ko="생녹용 500g", product_en="Antler", product_type_ko="생녹용(냉동)",
+        product_type_en="Frozen velvet antler", country_origin_en="Russia", country_origin_ko="러시아",
+        country_export_en="New Zealand", country_export_ko="뉴질랜드", exporter_en="NZ Exports", expiry_date="",
+        type_frozen=True, type_dried=False, type_ambiguous=False, source="mfds", report_no="A1", item_no="M1",
+        weight_kg="500", quantity="100", country_origin_raw="뉴질랜드", src_file="", row_idx=2, batch_id="w1", yr="2026",
+    )
+    assert (second["importer_en"], second["weight_kg"], second["date"], second["year"]) == ("미등록수입사", "N/A", "2026/5/1", "")
+    assert second["yr"] == "none" and second["row_idx"] == 4
+    extra = typed(store.records()).orderBy("row_idx").select("year_i", "weight_kg_d").collect()
+    assert extra[0][0] == 2026 and extra[0][1] == 500 and extra[1][0] == 0 and extra[1][1] is None
+
+
+def test_second_run_writes_nothing(world):
+    _, inbox, store, _ = world
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row(no="A2"), weekly_row(product="x")))
+    assert run(world, "w1") == {"a.xlsx": ("done", 3, 2, 1, 0)}
+    assert run(world, "w2") == {}
+    assert store.records().count() == 2
+
+
+def test_new_file_under_an_old_name_is_read_again(world):
+    _, inbox, store, _ = world
+    file = inbox / "a.xlsx"
+    file.write_bytes(weekly_book(weekly_row()))
+    run(world, "w1")
+    file.write_bytes(weekly_book(weekly_row(), weekly_row(product="new")))
+    os.utime(file, (1, 1))
+    assert run(world, "w2") == {"a.xlsx": ("done", 2, 1, 1, 0)}
+    assert store.records().count() == 2
+
+
+def test_files_are_taken_in_name_order(world):
+    _, inbox, store, _ = world
+    for name in ("b", "a", "c"):
+        (inbox / f"{name}.xlsx").write_bytes(weekly_book(weekly_row(no=name)))
+    assert {k: v[2] for k, v in run(world, "w1").items()} == {"a.xlsx": 1, "b.xlsx": 0, "c.xlsx": 0}
+    assert [r["report_no"] for r in store.records().collect()] == ["a"]
+
+
+def test_bad_files_fail_alone_and_are_tried_again(world):
+    spark, inbox, store, _ = world
+    (inbox / "good.xlsx").write_bytes(weekly_book(weekly_row()))
+    (inbox / "junk.xlsx").write_bytes(b"junk")
+    (inbox / "cut.xlsx").write_bytes(workbook_bytes({"s": [W[:9], ["1"]]}))
+    (inbox / "none.xlsx").write_bytes(workbook_bytes({"s": [["x"]] * 9}))
+    (inbox / "empty.xlsx").write_bytes(weekly_book([None] * 14))
+    (inbox / "old_done.xlsx").write_bytes(weekly_book(weekly_row(product="old")))
+    (inbox / "notes.txt").write_text("x")
+    (inbox / "sub").mkdir()
+    (inbox / "sub" / "deep.xlsx").write_bytes(weekly_book(weekly_row(product="deep")))
+    failed = ("failed", 0, 0, 0, 1)
+    want = {"junk.xlsx": failed, "cut.xlsx": failed, "none.xlsx": failed, "empty.xlsx": ("empty", 0, 0, 0, 0)}
+    assert run(world, "w1") == {"good.xlsx": ("done", 1, 1, 0, 0), **want}
+    messages = {os.path.basename(r["path"]): r["message"] for r in store.ledger().collect()}
+    assert messages["good.xlsx"] is None and messages["junk.xlsx"].startswith("BadZipFile")
+    assert messages["cut.xlsx"] == f"missing columns: {', '.join(W[9:])}"
+    assert messages["none.xlsx"].startswith("header row not found")
+    assert run(world, "w2") == want
+    (inbox / "junk.xlsx").write_bytes(weekly_book(weekly_row(product="repaired")))
+    assert run(world, "w3")["junk.xlsx"] == ("done", 1, 1, 0, 0)
+    totals = {r["src_file"]: tuple(r)[1:] for r in ledger_totals(store.ledger().where("batch_id = 'w1'")).collect()}
+    assert totals[None] == (1, 0, 3)
+
+
+def test_dry_run_counts_and_writes_nothing(world):
+    _, inbox, store, tmp = world
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row()))
+    assert run(world, "w1", dry_run=True) == {"a.xlsx": ("done", 2, 1, 1, 0)}
+    assert not (tmp / "store").exists()
+    assert run(world, "w1") == {"a.xlsx": ("done", 2, 1, 1, 0)}
+
+
+def test_single_file_ignores_its_state(world):
+    spark, inbox, store, _ = world
+    file = inbox / "a [1]{x}_done.xlsx"
+    file.write_bytes(weekly_book(weekly_row()))
+    (inbox / "b.xlsx").write_bytes(weekly_book(weekly_row(product="b")))
+    assert run(world, "w1", single_file=str(file)) == {file.name: ("done", 1, 1, 0, 0)}
+    assert run(world, "w2", single_file=str(file)) == {file.name: ("done", 1, 0, 1, 0)}
+    with pytest.raises(AnalysisException):
+        run(world, "w3", single_file=str(inbox / "missing.xlsx"))
+
+
+def test_repeating_a_batch_replaces_it(world):
+    _, inbox, store, _ = world
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row(product="x")))
+    first = run(world, "w1")
+    before = sorted(map(str, store.records().collect()))
+    # As after a crash between the records and the ledger.
+    assert run(world, "w1") == first
+    assert sorted(map(str, store.records().collect())) == before
+
+
+def test_missing_or_empty_inbox(world):
+    spark, inbox, store, tmp = world
+    assert run(world, "w1") == {}
+    table = names(world)
+    assert weekly_ingest(spark, str(tmp / "nowhere"), store, table, "w1").collect() == []
+
+
+def test_many_files_are_scanned_by_folder(world, monkeypatch):
+    from portledger.sources import inbox as source
+
+    _, inbox, store, _ = world
+    for i in range(6):
+        (inbox / f"{i}.xlsx").write_bytes(weekly_book(weekly_row(product=f"p{i}")))
+    os.utime(inbox / "0.xlsx", (1000, 1000))
+    run(world, "w0", single_file=str(inbox / "3.xlsx"))
+    monkeypatch.setattr(source, "MAX_LISTED_PATHS", 2)
+    got = run(world, "w1")
+    assert sorted(got) == ["0.xlsx", "1.xlsx", "2.xlsx", "4.xlsx", "5.xlsx"]
+    assert store.records().count() == 6
+
+
+def test_historical_backfill(world):
+    spark, _, store, tmp = world
+    path = tmp / "history.xlsx"
+    rows = [historical_row(), historical_row(kind=None, kind_en="FROZEN", product="b"), [None] * 16,
+            historical_row(kind=None, kind_en="", product="c", date="-")]
+    historical_book(path, *rows)
+    for written, skipped in ((3, 0), (0, 3)):
+        entry = historical_ingest(spark, str(path), store, batch_id=f"b{written}").first()
+        assert (entry["status"], entry["parsed"], entry["written"], entry["skipped"]) == ("done", 3, written, skipped)
+    got = store.records().orderBy("row_idx").collect()
+    assert [(r["date"], r["yr"]) for r in got] == [("2020-01-15", "2020")] * 2 + [("", "none")]
+    assert [marts_label(r) for r in got] == ["dried", "frozen", "ambiguous"]
+    assert got[0].asDict() | {"src_file": ""} == dict(
+        year="2020", month="1", day="15", date="2020-01-15", importer_en="Korea Importer", importer_ko="한국수입사",
+        product_ko="녹용", product_en="Antler", product_type_ko="녹용(건조)", product_type_en="Dried",
+        country_origin_en="Russia", country_origin_ko="러시아", country_export_en="New Zealand",
+        country_export_ko="뉴질랜드", exporter_en="NZ Exports", expiry_date="", type_frozen=False, type_dried=True,
+        type_ambiguous=False, source="historical", report_no="", item_no="", weight_kg="", quantity="",
+        country_origin_raw="", src_file="", row_idx=2, batch_id="b3", yr="2020",
+    )
+
+
+def marts_label(r):
+    return "frozen" if r["type_frozen"] else "dried" if r["type_dried"] else "ambiguous"
+
+
+def test_historical_problems_are_reported(world):
+    spark, _, store, tmp = world
+    for name, options, text in (
+        ("sheet", {"sheet": "other"}, "import list"),
+        ("column", {"header": ["Yr", *H[1:]]}, "missing columns: Year"),
+    ):
+        path = tmp / f"{name}.xlsx"
+        historical_book(path, historical_row(), **options)
+        entry = historical_ingest(spark, str(path), store, batch_id=name).first()
+        assert entry["status"] == "failed" and text in entry["message"]
+    assert store.records().isEmpty()
+
+
+def test_lookup_workbook_without_the_sheet_is_an_error(world):
+    spark, _, _, tmp = world
+    (tmp / "x.xlsx").write_bytes(workbook_bytes({"a": [["b"]]}))
+    with pytest.raises(ValueError, match="Names for Vlookup"):
+        load_translations(spark, str(tmp / "x.xlsx"))
+
+
+def test_sources_share_the_store(world):
+    spark, inbox, store, tmp = world
+    historical_ingest(spark, str(tmp / "history.xlsx"), store)
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row("20200115", product="녹용"), weekly_row()))
+    assert run(world, "w1") == {"a.xlsx": ("done", 2, 1, 1, 0)}
+    marts.refresh_reports(store, names(world))
+    report = lambda n: spark.read.parquet(f"{store.root}/reports/{n}")
+    assert {tuple(r) for r in report("monthly_by_type").collect()} == {(2020, 1, 0, 1, 0, 1), (2026, 5, 1, 0, 0, 1)}
+    assert [tuple(r) for r in report("yearly_by_country").orderBy("year").collect()] == [
+        (2020, 1, 0, 0, 0, 1), (2026, 1, 0, 0, 0, 1)]
+    assert {r["ptype"]: r["nz"] for r in report("type_country_pivot").collect()} == {
+        "frozen": 1, "dried": 1, "ambiguous": 0, "total": 2}
+    top = report("importers").first()
+    assert (top["rank"], top["importer_en"], top["total"], top["year_counts"]) == (1, "Korea Importer Co", 2, {2020: 1, 2026: 1})
+    marts.refresh_reports(store)
+    assert report("importers").first()["importer_en"] == "Korea Importer"
+
+
+def test_ensure_leaves_an_existing_table_alone(world):
+    _, inbox, store, _ = world
+    store.ensure()
+    assert store.records().isEmpty() and store.records().columns[:25] == RECORD_COLUMNS
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row()))
+    run(world, "w1")
+    store.ensure()
+    assert store.records().count() == 1
+
+
+def test_stream_takes_new_files_once(world):
+    spark, inbox, store, tmp = world
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row()))
+    (inbox / "b_done.xlsx").write_bytes(weekly_book(weekly_row(product="done")))
+    (inbox / "c.xlsx").write_bytes(b"junk")
+
+    def stream():
+        query = weekly_stream(spark, str(inbox), store, names(world), str(tmp / "checkpoint"), max_files=1)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    stream()
+    states = {os.path.basename(r["path"]): r["status"] for r in store.ledger().collect()}
+    assert states == {"a.xlsx": "done", "c.xlsx": "failed"} and store.records().count() == 1
+    (inbox / "d.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row(product="later")))
+    stream()
+    assert store.records().count() == 2
+    assert store.ledger().where(F.col("path").endswith("d.xlsx")).select("written", "skipped").first() == (1, 1)
+    # What the stream has taken is done for the batch job, too; what failed is tried again.
+    assert set(run(world, "w9")) == {"c.xlsx"}

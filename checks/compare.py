@@ -29,7 +29,10 @@ def sorted_rows(columns, rows):
 
 def differences(spark, con, name, sf_dir):
     """None where both sides agree, else a short text."""
-    df = QUERIES[name](spark, sf_dir)
+    return frame_differences(QUERIES[name](spark, sf_dir), con, name)
+
+
+def frame_differences(df, con, name):
     got = sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(ORACLES[name])
     columns = [d[0] for d in cur.description]

@@ -11,6 +11,8 @@ from operator import add
 
 from pyspark.sql import functions as F
 
+from portledger.session import pinned
+
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 1 / 500
@@ -43,8 +45,10 @@ def keyed_left_join(big, small, key, spread_by, small_fits=None):
 
 def _split_hot_keys(big, small, key, spread_by):
     values = [c for c in small.columns if c != key]
-    floor = max(big.count() * HOT_SHARE, 1)
-    hot = big.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") >= floor).select(key)
+    # One narrow pass over the big side; the counts are kept because both steps below need them.
+    counts = pinned(big.groupBy(key).agg(F.count("*").alias("_n")))
+    floor = (counts.agg(F.sum("_n")).first()[0] or 0) * HOT_SHARE
+    hot = counts.where(F.col("_n") >= floor).select(key)
     hot_values = small.join(F.broadcast(hot), key, "left_semi").select(
         key, F.struct(*values).alias("_hot")
     )

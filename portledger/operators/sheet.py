@@ -18,6 +18,7 @@ from portledger.schema import (
     SHEET_ROW,
     WEEKLY_HEADERS,
 )
+from portledger.session import pinned
 
 STATUS_ROW = -1
 
@@ -124,9 +125,10 @@ def schema_check(grid, layout):
 def rows_of_grid(grid, layout):
     """Data rows of a flat grid together with their file's column positions.
 
-    The per-file side is measured before it is broadcast; a file may hold any share of the rows.
+    The per-file side is worked out once, kept, and measured before it is broadcast; a file may hold
+    any share of the rows.
     """
-    usable = (
+    usable = pinned(
         with_layout(sheet_heads(grid), layout)
         .where(F.col("message").isNull())
         .select("file", "header_row", "positions")

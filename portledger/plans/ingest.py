@@ -2,7 +2,7 @@
 
 All files of a run go through one plan. Workbooks are decoded once into a staged table in the shared
 checkpoint folder; later steps read only the columns they need from it and a lost executor costs a
-re-read, not a second decode.
+re-read, not a second decode. Names are translated last, for the new rows only.
 """
 
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from portledger.operators.dedup import counter_totals, ingest_counters
 from portledger.operators.lookup import Translations
 from portledger.operators.sheet import HISTORICAL, STATUS_ROW, WEEKLY, rows_of_blocks
-from portledger.plans.records import aligned, historical_records, weekly_records
+from portledger.plans.records import historical_records, translated, weekly_fields
 from portledger.schema import HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
 from portledger.session import scratch_path
 from portledger.sources.inbox import escaped, list_folder, pending_files, read_pending
@@ -29,15 +29,14 @@ def load_translations(spark, workbook_path):
     return Translations.from_grid(grid_of(blocks))
 
 
-def weekly_rows(files, translations):
-    """Record and status rows of weekly workbooks."""
-    return aligned(weekly_records(rows_of_blocks(decode_workbooks(files), WEEKLY), translations))
+def weekly_rows(files):
+    """Untranslated record rows and status rows of weekly workbooks."""
+    return weekly_fields(rows_of_blocks(decode_workbooks(files), WEEKLY))
 
 
 def historical_rows(files):
     """Record and status rows of historical workbooks."""
-    blocks = decode_workbooks(files, HISTORICAL_SHEET)
-    return aligned(historical_records(rows_of_blocks(blocks, HISTORICAL)))
+    return historical_records(rows_of_blocks(decode_workbooks(files, HISTORICAL_SHEET), HISTORICAL))
 
 
 class Stage:
@@ -57,15 +56,15 @@ class Stage:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def ingest(rows, listing, store, batch_id, dry_run=False, stage=None):
+def ingest(rows, listing, store, batch_id, dry_run=False, finish=None):
     """Dedup-append ``rows`` and write one ledger row per listed file; returns the ledger rows.
 
-    ``rows`` are record rows plus one status row per decoded file. The listing is written down before
+    ``rows`` are record rows plus one status row per decoded file; ``finish`` completes new rows. The listing is written down before
     the files are read: a file replaced meanwhile shows up with a new time and is taken again. The
     ledger is written after the records: a run that stops in between finds its keys stored and
     repeats without harm.
     """
-    stage = stage or Stage(rows.sparkSession)
+    stage = Stage(rows.sparkSession)
     listed = stage.table("listing", listing)
     staged = stage.table("rows", rows)
     files = staged.where(F.col("row_idx") == STATUS_ROW).select("src_file", "message")
@@ -74,7 +73,7 @@ def ingest(rows, listing, store, batch_id, dry_run=False, stage=None):
         written = store.fresh(batch, batch_id)
         return ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
     store.ensure()
-    written = store.append(batch, batch_id)
+    written = store.append(batch, batch_id, finish)
     entries = ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
     entries = store.write_ledger(entries, batch_id)
     stage.drop()
@@ -125,7 +124,8 @@ def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, s
         files = read_pending(spark, listing, folder)
     if files is None:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return ingest(weekly_rows(files, translations), listing, store, batch_id, dry_run)
+    finish = lambda fresh: translated(fresh, translations)
+    return ingest(weekly_rows(files), listing, store, batch_id, dry_run, finish)
 
 
 def historical_ingest(spark, path, store, dry_run=False, batch_id=BACKFILL_BATCH):

@@ -38,19 +38,26 @@ def _passed_on(df):
     return [c for c in ("message",) if c in df.columns]
 
 
-def weekly_records(rows, translations):
-    """Records of weekly rows: parts from the date, English names by lookup, three type flags."""
-    clean = _clean(rows, WEEKLY, text.weekly_date)
-    flagged = clean.withColumns(
+def weekly_fields(rows):
+    """Weekly rows before translation: parts from the date, three type flags, source mark."""
+    return _clean(rows, WEEKLY, text.weekly_date).withColumns(
         {
             **text.date_parts("date"),
             **classify.weekly_type_flags("product_type_ko"),
             "source": F.lit(WEEKLY_SOURCE),
         }
     )
+
+
+def translated(fields, translations):
+    """Weekly records: the English names are looked up, unknown names keep their text."""
     for target, (category, source) in TRANSLATED.items():
-        flagged = translations.translate(flagged, category, source, target, spread_by=LINEAGE)
-    return flagged.select(*WEEKLY_COLUMNS, *LINEAGE, *_passed_on(flagged))
+        fields = translations.translate(fields, category, source, target, spread_by=LINEAGE)
+    return fields.select(*WEEKLY_COLUMNS, *LINEAGE)
+
+
+def weekly_records(rows, translations):
+    return translated(weekly_fields(rows), translations)
 
 
 def historical_records(rows):

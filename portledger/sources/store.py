@@ -63,9 +63,14 @@ class RecordStore:
         stored = self.records().where(F.col("yr").isin(years) & (F.col("batch_id") != batch_id))
         return new_records(batch, stored)
 
-    def append(self, batch, batch_id):
-        """Dedup-append ``batch`` (records with lineage) and return the rows that were written."""
-        rows = self.fresh(aligned(batch), batch_id).withColumn("yr", record_year())
+    def append(self, batch, batch_id, finish=None):
+        """Dedup-append ``batch`` and return the rows that were written.
+
+        ``batch`` needs the key and lineage columns; ``finish`` turns the new rows into records, so
+        work that the key does not depend on is done for new rows only.
+        """
+        rows = self.fresh(batch, batch_id)
+        rows = aligned(finish(rows) if finish else rows).withColumn("yr", record_year())
         path = self._path("records", f"batch_id={batch_id}")
         # Rebalancing splits a year that holds most of the rows and joins small ones.
         rows.hint("rebalance", "yr").write.mode("overwrite").partitionBy("yr").parquet(path)

@@ -7,6 +7,7 @@ records ever stored and such a state would grow without end.
 from pyspark.sql import functions as F
 
 from portledger.plans.ingest import ingest, weekly_rows
+from portledger.plans.records import translated
 from portledger.sources.inbox import DONE_SUFFIX, WORKBOOK_SUFFIX
 from portledger.sources.workbook import MAX_WORKBOOK_BYTES
 
@@ -33,7 +34,8 @@ def weekly_stream(spark, folder, store, translations, checkpoint, prefix="stream
         if listing.isEmpty():
             return
         readable = batch.where(F.col("length") <= MAX_WORKBOOK_BYTES)
-        ingest(weekly_rows(readable, translations), listing, store, f"{prefix}-{epoch:09d}")
+        finish = lambda fresh: translated(fresh, translations)
+        ingest(weekly_rows(readable), listing, store, f"{prefix}-{epoch:09d}", finish=finish)
 
     return (
         files.writeStream.foreachBatch(take)

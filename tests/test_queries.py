@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks.compare import differences, duck
+from checks.compare import duck, frame_differences
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,12 +22,10 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
-def test_query_equals_sql(spark, con, name):
-    assert differences(spark, con, name, SF_DIR) is None
-
-
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ("workbook_scan", "read_records")])
-def test_plans_stay_on_the_jvm_without_cross_joins(spark, name):
-    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    for node in ("Python", "InArrow", "InPandas", "CartesianProduct", "NestedLoopJoin"):
-        assert node not in plan
+def test_query_equals_sql_and_stays_on_the_jvm(spark, con, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    assert frame_differences(df, con, name) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    if name != "workbook_scan":
+        assert not any(node in plan for node in ("Python", "InArrow", "InPandas"))

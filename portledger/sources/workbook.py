@@ -5,6 +5,7 @@ workbook's XML at a time and hands its rows on as Arrow batches. Everything afte
 """
 
 import datetime
+import functools
 import re
 import sys
 import zipfile
@@ -25,6 +26,8 @@ MAX_WORKBOOK_BYTES = (1 << 31) - (1 << 20)
 _DATE_FORMAT_IDS = {*range(14, 23), 45, 46, 47}
 _ELAPSED_FORMAT_IDS = {46}
 
+_DIGITS = "0123456789"
+
 _ROW = pa.struct(
     [("row_idx", pa.int32()), ("cells", pa.list_(pa.string())), ("dated", pa.list_(pa.int32()))]
 )
@@ -167,50 +170,63 @@ class _Workbook:
         with self.archive.open(member) as part:
             at = -1
             for _, e in ElementTree.iterparse(part):
-                if _local(e.tag) == "row":
-                    at = int(e.get("r")) - 1 if e.get("r") else at + 1
+                if e.tag[-4:] == "}row":
+                    position = e.get("r")
+                    at = int(position) - 1 if position else at + 1
                     row = self._row(at, e)
                     e.clear()
                     if row["cells"]:
                         yield row
 
     def _row(self, at, element):
-        cells, dated = [], []
+        cells, dated, col = [], [], -1
+        shared, date_styles = self.shared, self.date_styles
         for c in element:
-            if _local(c.tag) != "c":
+            if c.tag[-2:] != "}c":
                 continue
-            ref = c.get("r")
-            col = _column_index(ref) if ref else len(cells)
-            value, is_date = self._value(c)
-            if value is None:
+            get = c.get
+            ref = get("r")
+            col = _column_index(ref.rstrip(_DIGITS)) if ref else col + 1
+            if not len(c):
                 continue
-            cells.extend([None] * (col + 1 - len(cells)))
-            cells[col] = value
-            if is_date:
-                dated.append(col)
+            # A cell holds its value last, after a formula if there is one.
+            last, kind = c[-1], get("t", "n")
+            raw = last.text if last.tag[-2:] == "}v" else None
+            if raw is not None and kind == "s":
+                value = shared[int(raw)]
+            elif raw is not None and kind == "n" and raw.isdecimal() and int(get("s", 0)) not in date_styles:
+                value = str(int(raw))
+            else:
+                value = self._other_value(c, kind, col, dated)
+                if value is None:
+                    continue
+            if col > len(cells):
+                cells.extend([None] * (col - len(cells)))
+            cells.append(value)
         return {"row_idx": at, "cells": cells, "dated": dated}
 
-    def _value(self, c):
-        """Cell text as Python prints the value, and whether the cell holds a calendar date."""
-        kind = c.get("t", "n")
+    def _other_value(self, c, kind, col, dated):
+        """Cell text as Python prints the value; the column of a calendar date goes to ``dated``."""
         if kind == "inlineStr":
-            return _rich_text(c), False
-        raw = next((e.text for e in c if _local(e.tag) == "v"), None)
+            return _rich_text(c)
+        raw = next((e.text for e in c if e.tag[-2:] == "}v"), None)
         if raw is None:
-            return None, False
+            return None
         if kind == "s":
-            return self.shared[int(raw)], False
-        if kind == "b":
-            return str(bool(int(raw))), False
-        if kind == "d":
-            return str(datetime.datetime.fromisoformat(raw.rstrip("Z"))), True
-        if kind != "n":
-            return raw, False
-        number = float(raw) if set(raw) & set(".eE") else int(raw)
-        style = int(c.get("s", 0))
-        if style in self.date_styles:
-            return _serial_date(number, self.from_1904, style in self.elapsed_styles)
-        return str(number), False
+            return self.shared[int(raw)]
+        if kind == "n":
+            number = float(raw) if "." in raw or "e" in raw or "E" in raw else int(raw)
+            style = int(c.get("s", 0))
+            if style not in self.date_styles:
+                return str(number)
+            text, is_date = _serial_date(number, self.from_1904, style in self.elapsed_styles)
+        elif kind == "d":
+            text, is_date = str(datetime.datetime.fromisoformat(raw.rstrip("Z"))), True
+        else:
+            return str(bool(int(raw))) if kind == "b" else raw
+        if is_date:
+            dated.append(col)
+        return text
 
 
 def _rich_text(element):
@@ -225,11 +241,11 @@ def _rich_text(element):
     return "".join(parts)
 
 
-def _column_index(ref):
+@functools.cache
+def _column_index(letters):
     index = 0
-    for ch in ref:
-        if ch.isalpha():
-            index = index * 26 + ord(ch.upper()) - 64
+    for ch in letters:
+        index = index * 26 + ord(ch.upper()) - 64
     return index - 1
 
 

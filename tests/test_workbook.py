@@ -95,6 +95,22 @@ def test_file_broken_midway_gives_no_rows(spark):
     assert rows == {} and error.startswith("ParseError")
 
 
+def test_cells_and_rows_without_a_reference_follow_each_other(spark):
+    import io
+    import re
+    import zipfile
+
+    base = zipfile.ZipFile(io.BytesIO(workbook_bytes({"s": [[1, 2, 3], [4, None, 6]]})))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as target:
+        for name in base.namelist():
+            text = base.read(name).decode()
+            if "sheet1" in name:
+                text = re.sub(r' r="[A-Z]*[0-9]+"', "", text).replace("<v>2</v>", "")
+            target.writestr(name, text)
+    assert decoded(spark, out.getvalue())[0] == {0: ["1", None, "3"], 1: ["4", "6"]}
+
+
 def test_rich_text_and_phonetic_hints(spark):
     import io
     import zipfile
@@ -115,4 +131,4 @@ def _main():
 
 
 def test_column_letters():
-    assert [wb._column_index(f"{column_name(i)}12") for i in (0, 25, 26, 701, 702)] == [0, 25, 26, 701, 702]
+    assert [wb._column_index(column_name(i)) for i in (0, 25, 26, 701, 702)] == [0, 25, 26, 701, 702]

@@ -175,11 +175,14 @@ def cells_to_columns(rows, layout, dates=()):
 
     For each field in ``dates`` a ``<field>_cell`` flag says whether the cell was a true date cell.
     """
-    named, flags = [], []
-    for i, (_, field) in enumerate(layout.headers):
-        at = F.get("positions", F.lit(i))
-        named.append(F.coalesce(F.get("cells", at), F.lit("")).alias(field))
-        if field in dates:
-            flags.append(F.coalesce(F.array_contains("dated", at), F.lit(False)).alias(f"{field}_cell"))
+    named = [
+        f"coalesce(get(cells, get(positions, {i})), '') AS {field}"
+        for i, (_, field) in enumerate(layout.headers)
+    ]
+    flags = [
+        f"coalesce(array_contains(dated, get(positions, {i})), false) AS {field}_cell"
+        for i, (_, field) in enumerate(layout.headers)
+        if field in dates
+    ]
     kept = [c for c in rows.columns if c not in ("cells", "dated", "positions")]
-    return rows.select(*kept, *named, *flags)
+    return rows.selectExpr(*kept, *named, *flags)

@@ -74,15 +74,11 @@ def historical_records(rows):
 
 def aligned(records):
     """The 25 stored columns by name: what is missing becomes empty, what is unknown is dropped."""
-    known = set(records.columns)
-    blank = lambda c: F.lit(None).cast("boolean") if c in FLAG_COLUMNS else F.lit("")
-    picked = [
-        (F.col(c) if c in FLAG_COLUMNS else F.coalesce(F.col(c), F.lit(""))).alias(c)
-        if c in known
-        else blank(c).alias(c)
-        for c in RECORD_COLUMNS
-    ]
-    return records.select(*picked, *LINEAGE, *_passed_on(records))
+    missing = [c for c in RECORD_COLUMNS if c not in records.columns]
+    blank = {c: F.lit(None).cast("boolean") if c in FLAG_COLUMNS else F.lit("") for c in missing}
+    filled = records.withColumns(blank) if blank else records
+    kept = [c for c in RECORD_COLUMNS if c not in FLAG_COLUMNS and c not in missing]
+    return filled.na.fill("", kept).select(*RECORD_COLUMNS, *LINEAGE, *_passed_on(records))
 
 
 def unified(*sources):

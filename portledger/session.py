@@ -17,6 +17,8 @@ def build_session(app="portledger", master=None, **conf):
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # Checkpoint files go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -5,7 +5,6 @@ workbook's XML at a time and hands its rows on as Arrow batches. Everything afte
 """
 
 import datetime
-import functools
 import re
 import sys
 import zipfile
@@ -113,6 +112,7 @@ class _Workbook:
 
     def __init__(self, archive):
         self.archive = archive
+        self.columns = {}
         names = set(archive.namelist())
         book = ElementTree.fromstring(archive.read("xl/workbook.xml"))
         rels = ElementTree.fromstring(archive.read("xl/_rels/workbook.xml.rels"))
@@ -180,13 +180,19 @@ class _Workbook:
 
     def _row(self, at, element):
         cells, dated, col = [], [], -1
-        shared, date_styles = self.shared, self.date_styles
+        shared, date_styles, columns = self.shared, self.date_styles, self.columns
         for c in element:
             if c.tag[-2:] != "}c":
                 continue
             get = c.get
             ref = get("r")
-            col = _column_index(ref.rstrip(_DIGITS)) if ref else col + 1
+            if ref:
+                letters = ref.rstrip(_DIGITS)
+                col = columns.get(letters)
+                if col is None:
+                    col = columns[letters] = _column_index(letters)
+            else:
+                col += 1
             if not len(c):
                 continue
             # A cell holds its value last, after a formula if there is one.
@@ -241,7 +247,6 @@ def _rich_text(element):
     return "".join(parts)
 
 
-@functools.cache
 def _column_index(letters):
     index = 0
     for ch in letters:

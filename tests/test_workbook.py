@@ -1,6 +1,9 @@
 import datetime
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from checks.workbooks import column_name, workbook_bytes
 from portledger.sources import workbook as wb
@@ -130,5 +133,19 @@ def _main():
     return "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 
 
+def test_tasks_need_no_installed_package(tmp_path):
+    # What a task gets must load where this package cannot be imported.
+    code = (
+        "import sys, pyarrow as pa; from pyspark import cloudpickle; "
+        "blocks, book = cloudpickle.loads(sys.stdin.buffer.read()); "
+        "print(blocks('p', pa.py_buffer(book), None)[0].column('rows')[0].as_py()[0]['cells'])"
+    )
+    sent = cloudpickle.dumps((wb._blocks, workbook_bytes({"s": [["a", 1, (43845, 1)]]}, styles=[0, 14])))
+    run = subprocess.run(
+        [sys.executable, "-c", code], input=sent, capture_output=True, cwd=tmp_path, env={"PATH": "/usr/bin"}
+    )
+    assert run.stdout.decode().strip() == "['a', '1', '2020-01-15 00:00:00']", run.stderr.decode()
+
+
 def test_column_letters():
     assert [wb._column_index(column_name(i)) for i in (0, 25, 26, 701, 702)] == [0, 25, 26, 701, 702]

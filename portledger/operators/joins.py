@@ -25,12 +25,20 @@ def text_bytes(df, columns=None):
     return reduce(add, sizes)
 
 
+def size_columns(df):
+    """Aggregates ``rows`` and ``bytes`` of ``df``."""
+    return [F.count("*").alias("rows"), F.coalesce(F.sum(text_bytes(df)), F.lit(0)).alias("bytes")]
+
+
+def is_small(measured, max_bytes=None, max_rows=None):
+    """Whether a measured side is small enough to copy to every executor."""
+    rows = BROADCAST_ROWS if max_rows is None else max_rows
+    size = BROADCAST_BYTES if max_bytes is None else max_bytes
+    return measured["rows"] <= rows and measured["bytes"] <= size
+
+
 def fits_broadcast(df, max_bytes=None, max_rows=None):
-    """Measure ``df`` and say whether it is small enough to copy to every executor."""
-    n, size = df.agg(F.count("*"), F.sum(text_bytes(df))).first()
-    return n <= (BROADCAST_ROWS if max_rows is None else max_rows) and (size or 0) <= (
-        BROADCAST_BYTES if max_bytes is None else max_bytes
-    )
+    return is_small(df.agg(*size_columns(df)).first(), max_bytes, max_rows)
 
 
 def keyed_left_join(big, small, key, spread_by, small_fits=None):

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portledger.functions.text import safe_str, strip
-from portledger.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, keyed_left_join, text_bytes
+from portledger.operators.joins import is_small, keyed_left_join, size_columns
 from portledger.session import pinned
 
 # The row that opens each section, and whether it is an entry itself.
@@ -89,15 +89,9 @@ class Translations:
 
     def __init__(self, table, max_bytes=None, max_rows=None):
         self.table = pinned(table)
-        max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
-        max_rows = BROADCAST_ROWS if max_rows is None else max_rows
         # One row per category, and there are four categories.
-        sizes = (
-            self.table.groupBy("category")
-            .agg(F.count("*").alias("n"), F.sum(text_bytes(self.table)).alias("size"))
-            .collect()
-        )
-        self.fits = {r["category"]: r["n"] <= max_rows and r["size"] <= max_bytes for r in sizes}
+        sizes = self.table.groupBy("category").agg(*size_columns(self.table)).collect()
+        self.fits = {r["category"]: is_small(r, max_bytes, max_rows) for r in sizes}
 
     @classmethod
     def from_grid(cls, grid, **limits):

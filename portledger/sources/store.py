@@ -3,18 +3,19 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from portledger.functions.text import safe_str
 from portledger.operators.dedup import new_records
+from portledger.operators.joins import is_small, size_columns
 from portledger.plans.records import aligned
-from portledger.schema import LEDGER_SCHEMA, STORED_SCHEMA
+from portledger.schema import DEDUP_KEY, LEDGER_SCHEMA, STORED_SCHEMA
 
 NO_YEAR = "none"
 
 
 def record_year(date="date"):
     """Partition value of a record: the year of an ISO-shaped date, or ``none``."""
-    return F.when(F.col(date).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.substring(date, 1, 4)).otherwise(
-        NO_YEAR
-    )
+    text = safe_str(date)
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.substring(text, 1, 4)).otherwise(NO_YEAR)
 
 
 class RecordStore:
@@ -58,10 +59,12 @@ class RecordStore:
         The date is part of the key, so only the batch's years are read. A batch's own earlier
         attempt is left out, so that writing it again gives the same rows.
         """
+        keys = batch.select(*DEDUP_KEY)
         # At most 10,000 year texts and "none".
-        years = [r[0] for r in batch.select(record_year()).distinct().collect()]
-        stored = self.records().where(F.col("yr").isin(years) & (F.col("batch_id") != batch_id))
-        return new_records(batch, stored)
+        years = F.collect_set(record_year()).alias("years")
+        measured = keys.agg(years, *size_columns(keys)).first()
+        stored = self.records().where(F.col("yr").isin(measured["years"]) & (F.col("batch_id") != batch_id))
+        return new_records(batch, stored, keys_fit=is_small(measured))
 
     def append(self, batch, batch_id, finish=None):
         """Dedup-append ``batch`` and return the rows that were written.

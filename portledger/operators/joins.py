@@ -15,7 +15,7 @@ from portledger.session import pinned
 
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 1_000_000
-HOT_SHARE = 1 / 500
+HOT_SHARE = 1 / 50_000
 SALTS = 4096
 
 

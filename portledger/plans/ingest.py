@@ -11,10 +11,10 @@ from portledger.operators.dedup import counter_totals, ingest_counters
 from portledger.operators.lookup import Translations
 from portledger.operators.sheet import HISTORICAL, STATUS_ROW, WEEKLY, rows_of_blocks
 from portledger.plans.records import historical_records, translated, weekly_fields
-from portledger.schema import HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
+from portledger.schema import FILE_SCHEMA, HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
 from portledger.session import scratch_path
 from portledger.sources.inbox import escaped, list_folder, pending_files, read_pending
-from portledger.sources.workbook import MAX_WORKBOOK_BYTES, decode_workbooks, grid_of, scan_workbooks
+from portledger.sources.workbook import decode_workbooks, grid_of, readable, scan_workbooks
 
 # Batch ids sort in ingest order; the backfill comes first.
 BACKFILL_BATCH = "0000-backfill"
@@ -83,10 +83,9 @@ def ingest(rows, listing, store, batch_id, dry_run=False, finish=None):
 def ledger_rows(listing, counters, batch_id):
     """One row per listed file: done, empty or failed, with its counts."""
     joined = listing.join(counters.withColumnRenamed("src_file", "path"), "path", "left")
-    too_long = F.when(F.col("length") > MAX_WORKBOOK_BYTES, "file is too large to read").otherwise(
-        "file was not read"
+    message = F.coalesce(
+        "message", F.when(F.col("parsed").isNull(), F.lit("file is too large to read"))
     )
-    message = F.coalesce("message", F.when(F.col("parsed").isNull(), too_long))
     status = F.when(message.isNotNull(), "failed").when(F.col("parsed") == 0, "empty").otherwise("done")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return joined.select(
@@ -115,21 +114,28 @@ def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, s
     """
     if single_file is not None:
         # A missing file is an error here, as there is nothing else to do.
-        files = spark.read.format("binaryFile").load(escaped(single_file))
-        listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
+        listing, files = _load(spark, escaped(single_file))
     else:
         # A batch that is run again replaces itself, so its own ledger rows do not count.
         earlier = store.ledger().where(F.col("batch_id") != batch_id)
         listing = pending_files(list_folder(spark, folder), earlier, folder)
         files = read_pending(spark, listing, folder)
     if files is None:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        if listing.isEmpty():
+            return spark.createDataFrame([], LEDGER_SCHEMA)
+        files = spark.createDataFrame([], FILE_SCHEMA)
     finish = lambda fresh: translated(fresh, translations)
     return ingest(weekly_rows(files), listing, store, batch_id, dry_run, finish)
 
 
 def historical_ingest(spark, path, store, dry_run=False, batch_id=BACKFILL_BATCH):
     """Ingest the historical workbook (or workbooks) at ``path``; repeating it writes nothing new."""
+    listing, files = _load(spark, path)
+    return ingest(historical_rows(files), listing, store, batch_id, dry_run)
+
+
+def _load(spark, path):
+    """All files at ``path`` as a listing, and those that can be read with their contents."""
     files = spark.read.format("binaryFile").load(path)
     listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
-    return ingest(historical_rows(files), listing, store, batch_id, dry_run)
+    return listing, readable(files)

@@ -100,6 +100,9 @@ STORED_SCHEMA = StructType(
     RECORD_SCHEMA.fields + [StructField("batch_id", StringType()), StructField("yr", StringType())]
 )
 
+# What the binaryFile source gives.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 SHEET_ROW = StructType(
     [
         StructField("row_idx", IntegerType()),

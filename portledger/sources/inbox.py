@@ -5,7 +5,7 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from portledger.sources.workbook import MAX_WORKBOOK_BYTES
+from portledger.sources.workbook import readable
 
 # File names.
 WORKBOOK_SUFFIX = ".xlsx"
@@ -53,8 +53,11 @@ def escaped(path):
 
 
 def read_pending(spark, pending, folder):
-    """Contents of the pending files, as ``(path, modificationTime, length, content)``."""
-    known = pending.where(F.col("length") <= MAX_WORKBOOK_BYTES).select("path", "modification_time")
+    """Contents of the pending files, as ``(path, modificationTime, length, content)``.
+
+    None if there is no file to read.
+    """
+    known = readable(pending).select("path", "modification_time")
     first = [r["path"] for r in known.select("path").take(MAX_LISTED_PATHS + 1)]
     reader = spark.read.format("binaryFile")
     if len(first) <= MAX_LISTED_PATHS:

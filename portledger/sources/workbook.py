@@ -44,10 +44,12 @@ _BLOCK = pa.schema(
 
 def scan_workbooks(spark, paths, sheet=None):
     """Blocks of all workbooks at ``paths`` (a folder, a file or a list)."""
-    files = (
-        spark.read.format("binaryFile").load(paths).where(F.col("length") <= MAX_WORKBOOK_BYTES)
-    )
-    return decode_workbooks(files, sheet)
+    return decode_workbooks(readable(spark.read.format("binaryFile").load(paths)), sheet)
+
+
+def readable(files):
+    """The files small enough to be read; the length test is applied before contents are opened."""
+    return files.where(F.col("length") <= MAX_WORKBOOK_BYTES)
 
 
 def decode_workbooks(files, sheet=None):

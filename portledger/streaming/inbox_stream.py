@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 
 from portledger.plans.ingest import ingest, weekly_rows
 from portledger.plans.records import translated
+from portledger.schema import FILE_SCHEMA
 from portledger.sources.inbox import DONE_SUFFIX, WORKBOOK_SUFFIX
-from portledger.sources.workbook import MAX_WORKBOOK_BYTES
-
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
+from portledger.sources.workbook import readable
 
 def weekly_stream(spark, folder, store, translations, checkpoint, prefix="stream", max_files=1000):
     """Start the stream over what is in ``folder`` now; returns the query.
@@ -33,9 +31,8 @@ def weekly_stream(spark, folder, store, translations, checkpoint, prefix="stream
         listing = batch.select("path", F.col("modificationTime").alias("modification_time"), "length")
         if listing.isEmpty():
             return
-        readable = batch.where(F.col("length") <= MAX_WORKBOOK_BYTES)
         finish = lambda fresh: translated(fresh, translations)
-        ingest(weekly_rows(readable), listing, store, f"{prefix}-{epoch:09d}", finish=finish)
+        ingest(weekly_rows(readable(batch)), listing, store, f"{prefix}-{epoch:09d}", finish=finish)
 
     return (
         files.writeStream.foreachBatch(take)

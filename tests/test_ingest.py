@@ -190,6 +190,18 @@ def test_many_files_are_scanned_by_folder(world, monkeypatch):
     assert store.records().count() == 6
 
 
+def test_files_too_large_to_read_are_reported(world, monkeypatch):
+    from portledger.sources import workbook
+
+    _, inbox, store, _ = world
+    (inbox / "large.xlsx").write_bytes(bytes(100_000))
+    monkeypatch.setattr(workbook, "MAX_WORKBOOK_BYTES", 50_000)
+    assert run(world, "w1") == {"large.xlsx": ("failed", 0, 0, 0, 1)}
+    assert store.ledger().first()["message"] == "file is too large to read"
+    (inbox / "small.xlsx").write_bytes(weekly_book(weekly_row()))
+    assert run(world, "w2") == {"large.xlsx": ("failed", 0, 0, 0, 1), "small.xlsx": ("done", 1, 1, 0, 0)}
+
+
 def test_historical_backfill(world):
     spark, _, store, tmp = world
     path = tmp / "history.xlsx"

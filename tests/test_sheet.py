@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from portledger.operators import joins, sheet
@@ -97,7 +98,9 @@ def _join_inputs(spark):
     return big, small.union(hot)
 
 
-def test_both_join_strategies_agree(spark):
+@pytest.mark.parametrize("share", [1 / 500, 1 / 50_000, 1])
+def test_both_join_strategies_agree(spark, monkeypatch, share):
+    monkeypatch.setattr(joins, "HOT_SHARE", share)
     big, small = _join_inputs(spark)
     fast = joins.keyed_left_join(big, small, "key", ["id"])
     wide = joins.keyed_left_join(big, small, "key", ["id"], small_fits=False).select(fast.columns)
@@ -105,7 +108,8 @@ def test_both_join_strategies_agree(spark):
     assert fast.exceptAll(wide).isEmpty() and wide.exceptAll(fast).isEmpty()
 
 
-def test_hot_and_null_keys_are_spread_before_the_shuffle(spark):
+def test_hot_and_null_keys_are_spread_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 500)
     big, small = _join_inputs(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import duck, frame_differences
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,14 +16,15 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["year", "month", "frozen", "dried", "ambiguous", "total"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql_and_stays_on_the_jvm(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert frame_differences(df, con, name) is None

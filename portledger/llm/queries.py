@@ -1,9 +1,14 @@
 """Registered queries of the training-data operators."""
 
+from portledger.llm import license_scan
+from portledger.llm.license_scan import op10_license_scan
 from portledger.llm.quality_rules import op7_quality_rules
 
 QUERIES = {
+    "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op10_license_scan": license_scan.oracle(),
+}

@@ -1 +1,8 @@
 """Training-data operators: deduplication, scans, classifiers, tokenisation, packing and search."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value: executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,12 +1,14 @@
 """Registered queries of the training-data operators."""
 
 from portledger.llm import license_scan
+from portledger.llm.ann import op6_nearest_neighbours
 from portledger.llm.bpe import op4_byte_bpe
 from portledger.llm.license_scan import op10_license_scan
 from portledger.llm.quality_rules import op7_quality_rules
 
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }

@@ -5,12 +5,14 @@ from portledger.llm.ann import op6_nearest_neighbours
 from portledger.llm.bpe import op4_byte_bpe
 from portledger.llm.compression_classifier import op5_compression_classifier
 from portledger.llm.license_scan import op10_license_scan
+from portledger.llm.packing import op8_best_fit_packing
 from portledger.llm.quality_rules import op7_quality_rules
 
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_compression_classifier": op5_compression_classifier,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }

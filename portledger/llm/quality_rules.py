@@ -17,7 +17,7 @@ its own. Repeated rows count each. Columns of the input with a result's name are
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from portledger.llm.common import as_text, small_side
+from portledger.llm.common import as_text, small_side, stored
 
 # Words, symbols and base rules.
 GAPS = "\t\n\x0b\x0c\r"
@@ -112,24 +112,24 @@ def fences(sketch, keys):
 
 def thresholds(docs):
     """``(_lang, _source, _fence)``: each source's own fences, or its language's, or everyone's."""
-    own = sketches(docs)
+    # Written once: the text is read for the sketches once, and merging works on bucket counts.
+    own = stored(sketches(docs), "sketches")
     by_source = fences(own, ["_lang", "_source"])
     by_lang = fences(merged(own, ["_lang"]), ["_lang"]).select(
         "_lang", F.col("fence").alias("lang_fence"), F.col("total").alias("lang_total")
     )
-    overall = fences(merged(own, []).withColumn("_all", F.lit(1)), ["_all"]).select(
-        "_all", F.col("fence").alias("all_fence")
-    )
-    joined = by_source.withColumn("_all", F.lit(1)).join(by_lang, "_lang").join(F.broadcast(overall), "_all")
+    overall = fences(merged(own, []), []).first()["fence"] or {}
+    everyone = F.create_map(*[x for m in SLACK for x in (F.lit(m), F.lit(overall.get(m)).cast("bigint"))])
     enough = lambda c: F.col(c) >= LEAST_DOCUMENTS
-    return joined.select(
+    cuts = by_source.join(by_lang, "_lang").select(
         "_lang",
         "_source",
         F.when(enough("total"), F.col("fence"))
         .when(enough("lang_total"), F.col("lang_fence"))
-        .otherwise(F.col("all_fence"))
+        .otherwise(everyone)
         .alias("_fence"),
     )
+    return stored(cuts, "fences")
 
 
 def with_repeats(df):

@@ -7,8 +7,10 @@ from portledger.llm.compression_classifier import op5_compression_classifier
 from portledger.llm.license_scan import op10_license_scan
 from portledger.llm.packing import op8_best_fit_packing
 from portledger.llm.quality_rules import op7_quality_rules
+from portledger.llm.secret_scan import op2_secret_scan
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_compression_classifier": op5_compression_classifier,
     "op6_nearest_neighbours": op6_nearest_neighbours,

@@ -5,6 +5,7 @@ from portledger.llm.ann import op6_nearest_neighbours
 from portledger.llm.bpe import op4_byte_bpe
 from portledger.llm.compression_classifier import op5_compression_classifier
 from portledger.llm.license_scan import op10_license_scan
+from portledger.llm.line_dedup import op9_line_dedup
 from portledger.llm.packing import op8_best_fit_packing
 from portledger.llm.quality_rules import op7_quality_rules
 from portledger.llm.secret_scan import op2_secret_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_compression_classifier": op5_compression_classifier,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }

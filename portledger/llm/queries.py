@@ -6,11 +6,14 @@ from portledger.llm.bpe import op4_byte_bpe
 from portledger.llm.compression_classifier import op5_compression_classifier
 from portledger.llm.license_scan import op10_license_scan
 from portledger.llm.line_dedup import op9_line_dedup
+from portledger.llm.ngram_join import ORACLE as NGRAM_ORACLE
+from portledger.llm.ngram_join import op1_ngram_jaccard_join
 from portledger.llm.packing import op8_best_fit_packing
 from portledger.llm.quality_rules import op7_quality_rules
 from portledger.llm.secret_scan import op2_secret_scan
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_compression_classifier": op5_compression_classifier,
@@ -22,5 +25,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_ngram_jaccard_join": NGRAM_ORACLE,
     "op10_license_scan": license_scan.oracle(),
 }

@@ -66,6 +66,39 @@ def _unpack(data):
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def _pack_places(places, once):
+    """Word places as byte planes. Small ones take a byte, others 20 bits. The words from ``once`` on occur once in
+    the block and are numbered as they occur, so a mark is enough for them."""
+    a = np.asarray(places, np.int64)
+    single = a >= once
+    high = (a - 192) >> 12
+    middle = ~single & (a >= 192) & (high < 62)
+    rare = ~single & (high >= 62)
+    first = np.where(single, 255, np.where(rare, 254, np.where(middle, 192 + high, a))).astype(np.uint8)
+    rest = (a[middle] - 192) & 4095
+    nibbles = np.append(rest & 15, 0)[: len(rest) + len(rest) % 2].astype(np.uint8)
+    head = np.array([len(a), len(rest), a[single][0] if single.any() else 0], "<u4")
+    parts = [head, first, (rest >> 4).astype(np.uint8), nibbles[0::2] | nibbles[1::2] << 4, a[rare].astype("<u4")]
+    return zstandard.compress(b"".join(p.tobytes() for p in parts), 9)
+
+
+def _unpack_places(data):
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    size, rest, single = raw[:12].view("<u4").tolist()
+    first = raw[12 : 12 + size].astype(np.int64)
+    at = 12 + size
+    upper = raw[at : at + rest].astype(np.int64)
+    packed = raw[at + rest : at + rest + (rest + 1) // 2]
+    lower = np.stack([packed & 15, packed >> 4], axis=1).ravel()[:rest]
+    out = first.copy()
+    middle = (first >= 192) & (first < 254)
+    out[middle] = ((first[middle] - 192) << 12) + (upper << 4 | lower) + 192
+    marked = first == 255
+    out[marked] = single + np.arange(marked.sum())
+    out[first == 254] = np.frombuffer(raw[at + rest + (rest + 1) // 2 :].tobytes(), "<u4")
+    return out
+
+
 class _Places(dict):
     def __missing__(self, word):
         self[word] = place = len(self)
@@ -92,23 +125,25 @@ class _Block:
         used = np.concatenate([d for _, d in self.docs]) if self.docs else np.empty(0, np.uint32)
         # Frequent words get small numbers, which pack well.
         rank = np.empty(len(words), np.uint32)
-        rank[np.argsort(-np.bincount(used, minlength=len(words)), kind="stable")] = np.arange(len(words))
+        times = np.bincount(used, minlength=len(words))
+        rank[np.argsort(-times, kind="stable")] = np.arange(len(words))
+        once = int((times > 1).sum())
         raw = [w.encode() for w in words]
         where = sorted(range(len(words)), key=lambda i: (zlib.crc32(raw[i]) % ranges, raw[i]))
         yield number, ORDER, [], b"", _pack(rank[where])
         for part, group in itertools.groupby(where, key=lambda i: zlib.crc32(raw[i]) % ranges):
             own = [raw[i] for i in group]
-            yield number, part, [], _pack([len(w) for w in own]), zstandard.compress(b"".join(own), 3)
+            yield number, part, [], _pack([len(w) for w in own]), zstandard.compress(b"".join(own), 9)
         ids, parts, size = [], [], 0
         for doc_id, found in self.docs:
             ids.append(doc_id)
             parts.append(rank[found])
             size += len(found)
             if size >= PACK_TOKENS:
-                yield number, DOCUMENTS, ids, _pack([len(p) for p in parts]), _pack(np.concatenate(parts))
+                yield number, DOCUMENTS, ids, _pack([len(p) for p in parts]), _pack_places(np.concatenate(parts), once)
                 ids, parts, size = [], [], 0
         if ids:
-            yield number, DOCUMENTS, ids, _pack([len(p) for p in parts]), _pack(np.concatenate(parts))
+            yield number, DOCUMENTS, ids, _pack([len(p) for p in parts]), _pack_places(np.concatenate(parts), once)
 
 
 PACKED_ARROW = pa.schema(
@@ -198,7 +233,7 @@ def _assembled(table):
     for part, doc_ids, counts, data in rows:
         if part != DOCUMENTS:
             continue
-        words, lengths = _unpack(data), _unpack(counts)
+        words, lengths = _unpack_places(data), _unpack(counts)
         n = sizes[words]
         ends = np.cumsum(n)
         ids = flat[np.repeat(begin[words] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]

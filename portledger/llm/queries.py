@@ -11,10 +11,12 @@ from portledger.llm.ngram_join import op1_ngram_jaccard_join
 from portledger.llm.packing import op8_best_fit_packing
 from portledger.llm.quality_rules import op7_quality_rules
 from portledger.llm.secret_scan import op2_secret_scan
+from portledger.llm.suffix_dedup import op3_suffix_dedup
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_compression_classifier": op5_compression_classifier,
     "op6_nearest_neighbours": op6_nearest_neighbours,

@@ -275,17 +275,22 @@ def deduplicated(docs, k=EDITS):
     """``docs`` without repeated lines, except in documents that repeat half of their text or more."""
     marks = stored(marked(docs, k), "marks")
     text = as_text(docs)
-    tied = docs.withColumns({"_doc": F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), "_tie": F.xxhash64(text)})
-    on = (tied["_doc"] == marks["doc"]) & (tied["_tie"] == marks["tie"])
-    joined = tied.join(small_side(marks, 5_000), on, "left")
-    strip = F.col("repeats").isNotNull() & (2 * F.col("repeated_chars") < F.length("text"))
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("repeats", i)), "\n")
-    joined = joined.withColumn("text", F.when(strip, kept).otherwise(F.col("text")))
-    joined = joined.where(~strip | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        text.alias("_text"),
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(text).alias("tie"),
+    )
+    joined = rows.join(small_side(marks, 5_000), ["doc", "tie"], "left")
+    strip = F.col("repeats").isNotNull() & (2 * F.col("repeated_chars") < F.length("_text"))
+    kept = F.array_join(F.filter(F.split("_text", "\n"), lambda line, i: ~F.array_contains("repeats", i)), "\n")
+    joined = joined.withColumn("_strip", strip).withColumn("_kept", F.when(strip, kept).otherwise(F.col("_row.text")))
+    joined = joined.where(~F.col("_strip") | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col("_kept")}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(strip, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return joined.select(*docs.columns)
+        size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_strip"), size).otherwise(F.col("_row.n_chars"))
+    return joined.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def op9_line_dedup(spark, sf_dir):

@@ -346,12 +346,13 @@ def components(docs, words=WORDS, percent=PERCENT):
 
 
 def one_of_each(docs, words=WORDS, percent=PERCENT):
-    """The document with the smallest id of every component; rows that repeat its id and set are one."""
+    """The document with the smallest id of every component. Rows with a null id stay; rows of one id go or stay together."""
     found = components(docs, words, percent)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     drop = stored(drop.join(keep, "doc_id", "left_anti"), "dropped")
-    return docs.join(small_side(drop.withColumnRenamed("doc_id", "_id"), 200_000), docs["doc_id"] == F.col("_id"), "left_anti")
+    drop = drop.where("doc_id is not null").withColumnRenamed("doc_id", "_dropped_id")
+    return docs.join(small_side(drop, 200_000), docs["doc_id"] == F.col("_dropped_id"), "left_anti")
 
 
 def op1_ngram_jaccard_join(spark, sf_dir):

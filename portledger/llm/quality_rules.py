@@ -34,7 +34,8 @@ SLACK = {"marks": 600, "doubled_lines": 5000, "capitals": 4000, "stutters": 2500
 # A sketch of fewer documents is replaced by the one above it.
 LEAST_DOCUMENTS = 200
 
-SCHEMA_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+RESULT += [f"m_{m}" for m in SLACK]
 
 
 def bucketed(name):
@@ -154,10 +155,9 @@ def with_repeats(df):
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint"))
 
 
-def judged(docs, limits=None):
-    """``docs`` with the counts, ``base_failed`` and ``kept``; ``limits`` defaults to its own thresholds."""
-    clash = [c for c in docs.columns if c in SCHEMA_COLUMNS]
-    docs = docs.drop(*clash)
+def _judged(docs, limits=None):
+    """``_row`` (the document's own columns), the counts, ``base_failed``, ``kept`` and the measures."""
+    docs = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
     limits = small_side(thresholds(docs) if limits is None else limits)
     # The join carries no window arrays, and the counts are made after it: only it may move rows.
     df = with_repeats(with_measures(docs).join(limits, ["_lang", "_source"], "left"))
@@ -168,18 +168,23 @@ def judged(docs, limits=None):
     for m in SLACK:
         inside = inside & (F.col(f"m_{m}") <= F.coalesce(F.col("_fence")[m], F.lit(2**62)))
     df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & inside)
-    extra = [f"m_{m}" for m in SLACK]
-    return df.select(*docs.columns, *SCHEMA_COLUMNS, *extra)
+    return df.select("_row", *RESULT)
+
+
+def judged(docs, limits=None):
+    """``docs`` with the counts and the verdict; ``limits`` defaults to thresholds of its own."""
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in RESULT]
+    return _judged(docs, limits).select(*own, *RESULT)
 
 
 def kept_documents(docs):
     """The documents that pass, with their own columns."""
     # A filter on the verdict alone would be pushed down into the projections, which repeats the measures'
     # nested expressions many times over; it may not pass a column that depends on the partition.
-    held = judged(docs).withColumn("_part", F.spark_partition_id())
-    return held.where(F.col("kept") & (F.col("_part") >= 0)).select(*docs.columns)
+    held = _judged(docs).withColumn("_part", F.spark_partition_id())
+    return held.where(F.col("kept") & (F.col("_part") >= 0)).select("_row.*")
 
 
 def op7_quality_rules(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return judged(docs).select("doc_id", *SCHEMA_COLUMNS, *[f"m_{m}" for m in SLACK])
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    return judged(docs).select("doc_id", *RESULT)

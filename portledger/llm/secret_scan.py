@@ -205,26 +205,28 @@ def findings(docs, labelled=None, sample=SAMPLE):
 
 def redacted(docs):
     """``docs`` with every secret replaced by a mask; all rows stay, and documents without one stay where they are."""
-    spark_name = "_secrets"
-    found = findings(docs).where("is_secret").groupBy("doc_id", "tie").agg(F.collect_set("nth").alias(spark_name))
-    columns = docs.columns
-    hit = docs.where(as_text(docs).rlike(CANDIDATE))
-    rest = docs.where(~as_text(docs).rlike(CANDIDATE))
-    tied = hit.withColumn("_tie", F.xxhash64("text"))
-    match = tied["doc_id"].eqNullSafe(found["doc_id"]) & (tied["_tie"] == found["tie"])
-    joined = tied.join(found.select("doc_id", "tie", spark_name), match, "left").drop(found["doc_id"])
+    found = findings(docs).where("is_secret")
+    found = found.groupBy(F.col("doc_id").alias("_found_id"), F.col("tie").alias("_found_tie")).agg(
+        F.collect_set("nth").alias("_nths")
+    )
+    has = as_text(docs).rlike(CANDIDATE)
+    rows = docs.where(has).select(F.struct(*docs.columns).alias("_row"))
+    match = F.col("_row.doc_id").eqNullSafe(F.col("_found_id")) & (F.xxhash64("_row.text") == F.col("_found_tie"))
+    joined = rows.join(found, match, "left")
     masked = F.transform(
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)),
-        lambda c, i: F.when(F.array_contains(spark_name, i), F.lit(MASK)).otherwise(c),
+        F.regexp_extract_all("_row.text", F.lit(CANDIDATE), F.lit(0)),
+        lambda c, i: F.when(F.array_contains("_nths", i), F.lit(MASK)).otherwise(c),
     )
-    pieces = F.split("text", CANDIDATE)
-    whole = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("_m"), i), F.lit("")))), "")
-    joined = joined.withColumn("_m", masked).withColumn(
-        "text", F.when(F.col(spark_name).isNotNull(), whole).otherwise(F.col("text"))
+    joined = joined.withColumn("_masked", masked)
+    whole = F.transform(
+        F.split("_row.text", CANDIDATE), lambda p, i: F.concat(p, F.coalesce(F.get("_masked", i), F.lit("")))
     )
-    if "n_chars" in columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*columns).unionByName(rest)
+    changed = {"text": F.when(F.col("_nths").isNotNull(), F.array_join(whole, "")).otherwise(F.col("_row.text"))}
+    if "n_chars" in docs.columns:
+        size = F.length(changed["text"]).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_nths").isNotNull(), size).otherwise(F.col("_row.n_chars"))
+    joined = joined.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    return joined.unionByName(docs.where(~has))
 
 
 def op2_secret_scan(spark, sf_dir):

@@ -8,8 +8,8 @@
 3. Global order. The n-grams that are left are counted and ordered by frequency class, rare first, then by
    hash. The order is cut into fragments; a set becomes one segment per fragment. Sets with too few
    shared n-grams go.
-4. Candidates. Sets that share an n-gram of their prefixes meet in lists. Neighbours in a list and its first
-   member are compared first; what these links connect needs no more. Then all pairs of a list
+4. Candidates. Sets that share an n-gram of their prefixes meet in lists. Neighbours in a list, its first
+   member and its member with the fewest lone n-grams are compared first; what these links connect needs no more. Then all pairs of a list
    whose sets are not connected yet are compared, whatever their number.
 5. Overlaps. Two sets' segments of one fragment are intersected separately, and the counts are summed per pair.
 
@@ -236,15 +236,24 @@ def segments(members, percent=PERCENT):
 
 
 def prefixes(parts, percent=PERCENT):
-    """``(gram, n, node)``: the n-grams of every set's prefix. Lone n-grams come first in the order and match nothing."""
-    longest = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1 - (F.col("n") - F.col("shared"))
+    """``(gram, n, node, rest, lone)``: the n-grams of every set's prefix.
+
+    Lone n-grams come first in the order and match nothing. ``rest``: n-grams of the set from this one on.
+    """
+    lone_grams = F.col("n") - F.col("shared")
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1 - lone_grams
     here = F.greatest(longest - F.col("before"), F.lit(0).cast("long")).cast("int")
-    return parts.select(F.explode(F.slice("grams", 1, F.greatest(here, F.lit(0)))).alias("gram"), "n", "node")
+    rows = parts.select("n", "node", "before", lone_grams.alias("lone"), F.posexplode(F.slice("grams", 1, here)).alias("at", "gram"))
+    return rows.select("gram", "n", "node", (F.col("n") - F.col("lone") - F.col("before") - F.col("at")).alias("rest"), "lone")
 
 
 def _pairs(percent, label):
-    """Pairs of list members of fitting sizes. Without labels: neighbours, and each with the first that fits;
-    with labels: all whose labels differ."""
+    """Pairs of list members that may reach the threshold. Without labels: neighbours, and each with the first that
+    fits in size and with the member of the smallest share of lone n-grams; with labels: all whose labels differ.
+
+    At the first n-gram that two sets share, what is left of either must hold the whole overlap; a pair that
+    reaches the threshold passes there.
+    """
 
     def emit(found):
         if found:
@@ -252,37 +261,40 @@ def _pairs(percent, label):
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     def pairs(batches):
-        for columns in _runs(batches, 4 if label else 3):
-            gram, n, node = columns[:3]
-            group = columns[3] if label else None
+        for columns in _runs(batches, 6 if label else 5):
+            gram, n, node, rest, lone = columns[:5]
+            group = columns[5] if label else None
             starts = _starts(gram)
             ends = np.append(starts[1:], len(gram))
             found, held = [], 0
             for s, e in zip(starts.tolist(), ends.tolist()):
                 if e - s < 2:
                     continue
-                size, who = n[s:e], node[s:e]
+                size, who, left = n[s:e], node[s:e], rest[s:e]
+                turns = []
                 if label:
-                    if (group[s:e] == group[s]).all():
+                    own = group[s:e]
+                    if (own == own[0]).all():
                         continue
                     # Sizes are in order: partners of i end where the size is too large.
                     last = np.searchsorted(size, size * 100 // percent, side="right")
-                    for i in range(e - s - 1):
-                        other = np.arange(i + 1, last[i])
-                        other = other[group[s:e][other] != group[s + i]]
-                        if len(other):
-                            found.append(np.stack([np.minimum(who[i], who[other]), np.maximum(who[i], who[other])], axis=1))
-                            held += len(other)
+                    turns = ((np.array([i]), i + 1 + np.flatnonzero(own[i + 1 : last[i]] != own[i])) for i in range(e - s - 1))
                 else:
+                    every = np.arange(e - s)
                     first = np.searchsorted(size, -(-size * percent // 100))
-                    for a, b in ((np.arange(e - s - 1), np.arange(1, e - s)), (first, np.arange(e - s))):
-                        fit = (a != b) & (size[a] * 100 >= size[b] * percent)
-                        x, y = who[a[fit]], who[b[fit]]
+                    cleanest = np.array([np.lexsort((who, lone[s:e] / size))[0]])
+                    turns = ((every[:-1], every[1:]), (first, every), (cleanest, every))
+                for a, b in turns:
+                    small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+                    fit = (a != b) & (small * 100 >= large * percent)
+                    fit &= np.minimum(left[a], left[b]) * (100 + percent) >= percent * (small + large)
+                    x, y = np.broadcast_to(who[a], fit.shape)[fit], who[b][fit]
+                    if len(x):
                         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
                         held += len(x)
-                if held >= 1 << 18:
-                    yield from emit(found)
-                    found, held = [], 0
+                    if held >= 1 << 18:
+                        yield from emit(found)
+                        found, held = [], 0
             yield from emit(found)
 
     return pairs
@@ -290,12 +302,18 @@ def _pairs(percent, label):
 
 def linked(pairs, parts, percent=PERCENT):
     """The pairs at the threshold: partial overlaps of each fragment, summed per pair."""
-    side = lambda name: parts.select(
-        F.col("node").alias(name), "fragment", F.col("grams").alias(f"{name}_grams"), F.col("n").alias(f"{name}_n")
+    segment = F.struct("fragment", "grams")
+    sets = parts.groupBy("node", "n").agg(F.map_from_entries(F.collect_list(segment)).alias("segments"))
+    side = lambda name: sets.select(
+        F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("segments").alias(f"{name}_segments")
     )
-    met = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
-    partial = met.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_grams", "b_grams")).alias("partial"))
-    summed = partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("partial").alias("overlap"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    none = F.array().cast("array<long>")
+    of = lambda name, f: F.coalesce(F.try_element_at(f"{name}_segments", f), none)
+    fragments = F.sequence(F.lit(0), F.lit(CUTS * CLASSES - 1))
+    partial = F.transform(fragments, lambda f: F.size(F.array_intersect(of("a", f), of("b", f))))
+    overlap = F.aggregate(partial, F.lit(0), lambda total, n: total + n)
+    summed = met.select("a", "b", "a_n", "b_n", overlap.cast("long").alias("overlap"))
     union = F.col("a_n") + F.col("b_n") - F.col("overlap")
     return summed.where(100 * F.col("overlap") >= percent * union).select("a", "b", "overlap")
 
@@ -321,7 +339,7 @@ def similar_sets(docs, nodes, words=WORDS, percent=PERCENT):
     links = stored(linked(near, parts, percent), "linked")
     groups = stored(connected_components(links.select("a", "b")), "groups")
     named = prefixes(parts, percent).join(groups.withColumnRenamed("component", "label"), "node", "left")
-    named = named.select("gram", "n", "node", F.coalesce("label", "node").alias("label")).repartition("gram")
+    named = named.select("gram", "n", "node", "rest", "lone", F.coalesce("label", "node").alias("label")).repartition("gram")
     rest = named.sortWithinPartitions("gram", "n", "node").mapInArrow(_pairs(percent, True), "a long, b long").distinct()
     rest = stored(rest.join(near, ["a", "b"], "left_anti"), "pairs")
     return stored(links.unionByName(linked(rest, parts, percent)), "linked")

@@ -7,7 +7,7 @@ replaced), first occurs earlier; lines are ordered by document id and line numbe
 Of two lines within ``k`` edits, cut one into ``k + 1`` segments: one segment lies unchanged in the other, near
 its old place. So each line indexes its segments under (length, number, hash) and probes with the few
 substrings that may match a segment of a line of its own or a smaller length. Postings are sorted by
-key; lines that share one become candidates, and those are verified on their texts with a banded
+key; lines that share one become candidates unless their letters differ too much, and those are verified on their texts with a banded
 bit-parallel edit distance.
 
 Copies of a line post once per task. A long list of postings first compares its members with its
@@ -35,8 +35,8 @@ LEAST = 40
 LONG_LIST = 32
 NO_ID = (1 << 63) - 1
 
-POSTINGS = "key long, probe boolean, doc long, n int, line long"
-CANDIDATES = "key long, a long, b long, rest boolean"
+POSTINGS = "key long, probe boolean, doc long, n int, line long, letters int"
+CANDIDATES = "key long, a long, b long, rest boolean, letters int"
 
 
 def segments(length, k):
@@ -111,6 +111,12 @@ def line_rows(docs):
     return rows.select("doc", "tie", "n", F.xxhash64("body").alias("line"), F.length("body").alias("chars"))
 
 
+def letters_of(body):
+    """Which of 32 classes of code points a line holds an odd number of, as bits: an edit changes two at most."""
+    odd = np.bincount(np.frombuffer(body.encode("utf-32-le"), "<u4") & 31, minlength=32) & 1
+    return int((odd << np.arange(32)).sum().astype(np.uint32).view(np.int32))
+
+
 def _poster(k):
     plans = {}
 
@@ -123,7 +129,7 @@ def _poster(k):
     def post(batches):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            keys, kinds, docs, numbers, lines, seen = [], [], [], [], [], set()
+            keys, kinds, docs, numbers, lines, letters, seen = [], [], [], [], [], [], set()
             for doc, n, line, body in zip(*(c.to_pylist() for c in batch.columns)):
                 if line in seen:
                     continue
@@ -136,28 +142,34 @@ def _poster(k):
                 docs += [doc] * size
                 numbers += [n] * size
                 lines += [line] * size
-            arrays = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(kinds, pa.bool_()), pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lines, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "probe", "doc", "n", "line"])
+                letters += [letters_of(body)] * size
+            arrays = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(kinds, pa.bool_()), pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lines, pa.int64()), pa.array(letters, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "probe", "doc", "n", "line", "letters"])
 
     return post
 
 
-def _lister(limit):
-    """Sorted postings to candidates: all of a short list, those with the earliest line of a long one."""
+def _lister(limit, k):
+    """Sorted postings to candidates: all of a short list, those with the earliest line of a long one.
+
+    Lines whose letters differ in more classes than ``k`` edits can change are no candidates.
+    """
 
-    def pairs_of(key, probe, line):
+    def pairs_of(key, probe, line, letters):
         # Rows are in order of (key, doc, n): the first row of a line is its earliest.
+        of = dict(zip(line.tolist(), letters.tolist()))
         indexed = list(dict.fromkeys(line[~probe].tolist()))
         probing = list(dict.fromkeys(line[probe].tolist()))
+        near = lambda a, b: a != b and ((of[a] ^ of[b]) & 0xFFFFFFFF).bit_count() <= 2 * k
         if len(indexed) * len(probing) <= limit * limit:
-            return [(key, a, b, False) for a in indexed for b in probing if a != b]
+            return [(key, a, b, False, 0) for a in indexed for b in probing if near(a, b)]
         # The earliest line serves as partner; members of both kinds are kept for the second turn.
         first = indexed[0]
-        out = [(key, first, b, False) for b in probing if b != first]
-        out += [(key, a, None, True) for a in indexed] + [(key, None, b, True) for b in probing]
+        out = [(key, first, b, False, 0) for b in probing if near(first, b)]
+        out += [(key, a, None, True, of[a]) for a in indexed] + [(key, None, b, True, of[b]) for b in probing]
         return out
 
-    def flush(key, probe, line):
+    def flush(key, probe, line, letters):
         """Candidates of whole lists."""
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.append(starts[1:], len(key))
@@ -167,17 +179,18 @@ def _lister(limit):
         out = []
         for i in np.flatnonzero(any_probe & any_index & (low != high)).tolist():
             part = slice(starts[i], ends[i])
-            out += pairs_of(int(key[starts[i]]), probe[part], line[part])
-        columns = list(zip(*out)) or [(), (), (), ()]
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "a", "b", "rest"])
+            out += pairs_of(int(key[starts[i]]), probe[part], line[part], letters[part])
+        columns = list(zip(*out)) or [(), (), (), (), ()]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())
+        names = ["key", "a", "b", "rest", "letters"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def lists(batches):
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
             # The last list may go on in the next batch.
             cut = int(np.searchsorted(held[0], held[0][-1]))
@@ -229,21 +242,24 @@ def _later(near, firsts):
 def near_repeats(docs, firsts, k=EDITS):
     """``(line)``: hashes of the lines that have an earlier near line."""
     postings = _long_lines(docs).mapInArrow(_poster(k), POSTINGS)
-    listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line")
-    candidates = stored(listed.mapInArrow(_lister(LONG_LIST), CANDIDATES), "candidates")
+    listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "letters")
+    candidates = stored(listed.mapInArrow(_lister(LONG_LIST, k), CANDIDATES), "candidates")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first_turn = stored(ordered(candidates.where("not rest")), "pairs")
     later = stored(_later(_verified(docs, first_turn, k), firsts), "repeats")
     # Second turn: members of long lists that are not known to repeat yet meet all the list's other lines.
     rest = candidates.where("rest")
     if rest.limit(1).count():
-        indexed = rest.where("a is not null").select("key", "a")
-        probing = rest.where("b is not null").select("key", "b")
+        indexed = rest.where("a is not null").select("key", "a", F.col("letters").alias("a_letters"))
+        probing = rest.where("b is not null").select("key", "b", F.col("letters").alias("b_letters"))
+        close = lambda x, y: (x["key"] == y["key"]) & (x["a"] != y["b"]) & (F.bit_count(x["a_letters"].bitwiseXOR(y["b_letters"])) <= 2 * k)
+        meet = lambda x, y: x.join(y, close(x, y)).select("a", "b")
         # Either line of a pair may be the open one.
         open_a = indexed.join(later, indexed["a"] == later["line"], "left_anti")
         open_b = probing.join(later, probing["b"] == later["line"], "left_anti")
-        more = open_a.join(probing, "key").unionByName(indexed.join(open_b, "key")).where("a != b")
-        more = ordered(more).join(first_turn, ["a", "b"], "left_anti")
+        open_a, open_b = open_a.select(*indexed.columns), open_b.select(*probing.columns)
+        more = ordered(meet(open_a, probing).unionByName(meet(indexed, open_b)))
+        more = more.join(first_turn, ["a", "b"], "left_anti")
         more = stored(more, "pairs")
         if more.limit(1).count():
             later = stored(later.unionByName(_later(_verified(docs, more, k), firsts)).distinct(), "repeats")

@@ -12,16 +12,19 @@ from portledger.operators.lookup import Translations
 from portledger.operators.sheet import HISTORICAL, STATUS_ROW, WEEKLY, rows_of_blocks
 from portledger.plans.records import historical_records, translated, weekly_fields
 from portledger.schema import FILE_SCHEMA, HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
-from portledger.session import scratch_path
-from portledger.sources.inbox import escaped, list_folder, pending_files, read_pending
+from portledger.session import pinned, scratch_path
+from portledger.sources.inbox import escaped, list_folder, literal, pending_files, qualified, read_pending
+from portledger.sources import workbook
 from portledger.sources.workbook import decode_workbooks, grid_of, readable, scan_workbooks
 
-# Batch ids sort in ingest order; the backfill comes first.
 BACKFILL_BATCH = "0000-backfill"
 
 
 def load_translations(spark, workbook_path):
-    """Lookup table of a workbook; a workbook without the lookup sheet is an error."""
+    """Lookup table of a workbook; one that cannot be read or lacks the lookup sheet is an error."""
+    listing, _ = _load(spark, escaped(workbook_path))
+    if listing.where(F.col("length") > workbook.MAX_WORKBOOK_BYTES).limit(1).count():
+        raise ValueError(f"{workbook_path} is too large to read")
     blocks = scan_workbooks(spark, escaped(workbook_path), LOOKUP_SHEET)
     bad = blocks.where(F.col("error").isNotNull()).select("error").first()
     if bad:
@@ -65,27 +68,28 @@ def ingest(rows, listing, store, batch_id, dry_run=False, finish=None):
     repeats without harm.
     """
     stage = Stage(rows.sparkSession)
-    listed = stage.table("listing", listing)
-    staged = stage.table("rows", rows)
-    files = staged.where(F.col("row_idx") == STATUS_ROW).select("src_file", "message")
-    batch = staged.where(F.col("row_idx") > STATUS_ROW).drop("message")
-    if dry_run:
-        written = store.fresh(batch, batch_id)
-        return ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
-    store.ensure()
-    written = store.append(batch, batch_id, finish)
-    entries = ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
-    entries = store.write_ledger(entries, batch_id)
-    stage.drop()
-    return entries
+    try:
+        listed = stage.table("listing", listing)
+        staged = stage.table("rows", rows)
+        files = staged.where(F.col("row_idx") == STATUS_ROW).select("src_file", "message")
+        batch = staged.where(F.col("row_idx") > STATUS_ROW).drop("message")
+        if dry_run:
+            return pinned(ledger_rows(listed, ingest_counters(files, batch, store.fresh(batch)), batch_id))
+        store.ensure()
+        written = store.append(batch, batch_id, finish)
+        entries = ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
+        return store.write_ledger(entries, batch_id)
+    finally:
+        stage.drop()
 
 
 def ledger_rows(listing, counters, batch_id):
     """One row per listed file: done, empty or failed, with its counts."""
     joined = listing.join(counters.withColumnRenamed("src_file", "path"), "path", "left")
-    message = F.coalesce(
-        "message", F.when(F.col("parsed").isNull(), F.lit("file is too large to read"))
+    gone = F.when(F.col("length") > workbook.MAX_WORKBOOK_BYTES, "file is too large to read").otherwise(
+        "file was replaced or removed while it was read"
     )
+    message = F.coalesce("message", F.when(F.col("parsed").isNull(), gone))
     status = F.when(message.isNotNull(), "failed").when(F.col("parsed") == 0, "empty").otherwise("done")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return joined.select(
@@ -116,9 +120,7 @@ def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, s
         # A missing file is an error here, as there is nothing else to do.
         listing, files = _load(spark, escaped(single_file))
     else:
-        # A batch that is run again replaces itself, so its own ledger rows do not count.
-        earlier = store.ledger().where(F.col("batch_id") != batch_id)
-        listing = pending_files(list_folder(spark, folder), earlier, folder)
+        listing = pending_files(list_folder(spark, folder), store.ledger(), qualified(spark, folder))
         files = read_pending(spark, listing, folder)
     if files is None:
         if listing.isEmpty():
@@ -130,7 +132,7 @@ def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, s
 
 def historical_ingest(spark, path, store, dry_run=False, batch_id=BACKFILL_BATCH):
     """Ingest the historical workbook (or workbooks) at ``path``; repeating it writes nothing new."""
-    listing, files = _load(spark, path)
+    listing, files = _load(spark, literal(spark, path))
     return ingest(historical_rows(files), listing, store, batch_id, dry_run)
 
 

@@ -168,11 +168,11 @@ def refresh_reports(store, translations=None):
 
     The count reports share one tally, which is written first and read back.
     """
-    records = store.records()
+    records = store.published()
     tallied = store.write_report("tally", tally(records))
     store.write_report("monthly_by_type", monthly_by_type(tallied))
     store.write_report("yearly_by_country", yearly_by_country(tallied))
     store.write_report("type_country_pivot", type_country_pivot(tallied))
-    order = ["batch_id", *LINEAGE]
+    order = ["seq", *LINEAGE]
     ranked = importer_ranking(importer_totals(records, translations, order))
     store.write_report("importers", ranked)

@@ -17,8 +17,31 @@ LISTING_SCHEMA = "path string, modification_time timestamp, length bigint"
 MAX_LISTED_PATHS = 10_000
 
 
+def escaped(path):
+    """``path`` with glob characters taken literally."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
+def _hadoop_path(spark, path):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def literal(spark, path):
+    """``path`` itself where something is there, else as the glob it may be."""
+    folder, fs = _hadoop_path(spark, path)
+    return escaped(path) if fs.exists(folder) else path
+
+
+def qualified(spark, path):
+    """``path`` as the file system spells it in listings, whatever way it was typed."""
+    folder, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(folder).toString()
+
+
 def list_folder(spark, folder):
     """Files directly in ``folder`` as ``(path, modification_time, length)``; contents are not read."""
+    folder = literal(spark, folder)
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(folder)
     except AnalysisException as exc:
@@ -29,12 +52,15 @@ def list_folder(spark, folder):
 
 
 def unprocessed(listing, folder):
-    """Workbooks directly in ``folder`` whose name does not carry the done mark."""
-    prefix = folder.rstrip("/") + "/"
+    """Workbooks directly in ``folder``, a qualified path, whose name does not carry the done mark."""
     name = F.substring_index("path", "/", -1)
     parent = F.col("path").substr(F.lit(1), F.length("path") - F.length(name))
+    # A local root is listed with one slash or three.
+    plain = F.regexp_replace(parent, "^file:/+", "file:/")
     return listing.where(
-        parent.endswith(prefix) & name.endswith(WORKBOOK_SUFFIX) & ~name.endswith(DONE_SUFFIX)
+        (plain == re.sub("^file:/+", "file:/", folder.rstrip("/") + "/"))
+        & name.endswith(WORKBOOK_SUFFIX)
+        & ~name.endswith(DONE_SUFFIX)
     )
 
 
@@ -47,11 +73,6 @@ def pending_files(listing, ledger, folder):
     return unprocessed(listing, folder).join(done, ["path", "modification_time"], "left_anti")
 
 
-def escaped(path):
-    """``path`` with glob characters taken literally."""
-    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
-
-
 def read_pending(spark, pending, folder):
     """Contents of the pending files, as ``(path, modificationTime, length, content)``.
 
@@ -64,7 +85,7 @@ def read_pending(spark, pending, folder):
         return reader.load([escaped(p) for p in first]) if first else None
     # Only files in the pending time range are opened; the join then keeps exactly the pending ones.
     oldest = known.agg(F.min("modification_time")).first()[0]
-    files = reader.option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(folder)
+    files = reader.option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(literal(spark, folder))
     wanted = known.withColumnRenamed("modification_time", "modificationTime")
     return files.where(F.col("modificationTime") >= F.lit(oldest)).join(
         wanted, ["path", "modificationTime"], "left_semi"

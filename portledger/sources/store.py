@@ -1,16 +1,25 @@
-"""The record table, the file ledger and the reports, as Parquet below one root folder."""
+"""The record table, the file ledger and the reports, as Parquet below one root folder.
+
+Every append is a publication of its own, ``seq=<n>``, and no publication is ever written again: a batch id that
+is used twice, a file that comes again or a second stream only adds records whose keys are not stored yet.
+"""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from portledger.functions.text import safe_str
-from portledger.operators.dedup import new_records
+from portledger.operators.dedup import dedup_keys, new_records
 from portledger.operators.joins import is_small, size_columns
 from portledger.plans.records import aligned
-from portledger.schema import DEDUP_KEY, LEDGER_SCHEMA, STORED_SCHEMA
+from portledger.schema import LEDGER_SCHEMA, STORED_SCHEMA
 
 NO_YEAR = "none"
 
+_SEQ = [StructField("seq", LongType())]
+PUBLISHED_SCHEMA = StructType(STORED_SCHEMA.fields + _SEQ)
+PUBLISHED_LEDGER_SCHEMA = StructType(LEDGER_SCHEMA.fields + _SEQ)
+
 
 def record_year(date="date"):
     """Partition value of a record: the year of an ISO-shaped date, or ``none``."""
@@ -19,7 +28,7 @@ def record_year(date="date"):
 
 
 class RecordStore:
-    """Append-only records. One writer at a time; writing a batch again replaces that batch."""
+    """Append-only records. One writer at a time."""
 
     def __init__(self, spark, root):
         self.spark = spark
@@ -40,52 +49,69 @@ class RecordStore:
         """Create an empty record table with its columns; leave an existing one alone."""
         path = self._path("records")
         try:
-            self.spark.read.schema(STORED_SCHEMA).parquet(path)
+            self.spark.read.schema(PUBLISHED_SCHEMA).parquet(path)
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
-            self.spark.createDataFrame([], STORED_SCHEMA).write.partitionBy("batch_id", "yr").parquet(path)
+            empty = self.spark.createDataFrame([], PUBLISHED_SCHEMA)
+            empty.write.partitionBy("seq", "batch_id", "yr").parquet(path)
+
+    def published(self):
+        """All stored records with their batch and ``seq``, the number of the append they came in."""
+        return self._read(PUBLISHED_SCHEMA, self._path("records"))
 
     def records(self):
         """All stored records, with the batch each came in."""
-        return self._read(STORED_SCHEMA, self._path("records"))
+        return self.published().drop("seq")
+
+    def _ledger(self):
+        return self._read(PUBLISHED_LEDGER_SCHEMA, self._path("ledger"))
 
     def ledger(self):
-        return self._read(LEDGER_SCHEMA, self._path("ledger"))
+        return self._ledger().drop("seq")
+
+    def _next(self, *parts):
+        """A number above every one used below the folder, from its folder names alone."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self._path(*parts))
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return 1 + max([int(n.removeprefix("seq=")) for n in names if n.startswith("seq=")], default=0)
 
-    def fresh(self, batch, batch_id):
+    def fresh(self, batch):
         """Rows of ``batch`` that are not stored yet, first of their key.
 
-        The date is part of the key, so only the batch's years are read. A batch's own earlier
-        attempt is left out, so that writing it again gives the same rows.
+        The date is part of the key, so only the batch's years are read. Everything published counts, earlier
+        attempts of the same batch too: writing a batch again adds what is missing and nothing twice.
         """
-        keys = batch.select(*DEDUP_KEY)
+        keys = dedup_keys(batch).distinct()
         # At most 10,000 year texts and "none".
         years = F.collect_set(record_year()).alias("years")
         measured = keys.agg(years, *size_columns(keys)).first()
-        stored = self.records().where(F.col("yr").isin(measured["years"]) & (F.col("batch_id") != batch_id))
+        stored = self.records().where(F.col("yr").isin(measured["years"]))
         return new_records(batch, stored, keys_fit=is_small(measured))
 
     def append(self, batch, batch_id, finish=None):
-        """Dedup-append ``batch`` and return the rows that were written.
+        """Dedup-append ``batch`` and return the rows that this call wrote.
 
         ``batch`` needs the key and lineage columns; ``finish`` turns the new rows into records, so
         work that the key does not depend on is done for new rows only.
         """
-        rows = self.fresh(batch, batch_id)
+        rows = self.fresh(batch)
         rows = aligned(finish(rows) if finish else rows).withColumn("yr", record_year())
-        path = self._path("records", f"batch_id={batch_id}")
+        seq = self._next("records")
+        path = self._path("records", f"seq={seq}", f"batch_id={batch_id}")
         # Rebalancing splits a year that holds most of the rows and joins small ones.
-        rows.hint("rebalance", "yr").write.mode("overwrite").partitionBy("yr").parquet(path)
-        return self.batch(batch_id)
+        rows.hint("rebalance", "yr").write.partitionBy("yr").parquet(path)
+        return self.published().where(F.col("seq") == seq).drop("seq")
 
     def batch(self, batch_id):
         return self.records().where(F.col("batch_id") == batch_id)
 
     def write_ledger(self, rows, batch_id):
-        path = self._path("ledger", f"batch_id={batch_id}")
-        rows.drop("batch_id").write.mode("overwrite").parquet(path)
-        return self.ledger().where(F.col("batch_id") == batch_id)
+        seq = self._next("ledger")
+        rows.drop("batch_id").write.parquet(self._path("ledger", f"seq={seq}", f"batch_id={batch_id}"))
+        return self._ledger().where(F.col("seq") == seq).drop("seq")
 
     def write_report(self, name, df):
         path = self._path("reports", name)

@@ -267,8 +267,22 @@ def _shows_elapsed(code):
     return bool(re.search(r"\[(h+|m+|s+)\]", code.split(";")[0], re.I))
 
 
+# Fixed value: what a cell shows that cannot be a date.
+DATE_ERROR = "#VALUE!"
+
+
 def _serial_date(number, from_1904, elapsed):
-    """Day count as date-time text; day counts below one are times of day, elapsed formats durations."""
+    """Day count as date-time text; day counts below one are times of day, elapsed formats durations.
+
+    A count beyond the calendar is an error text, for its cell alone.
+    """
+    try:
+        return _dated(number, from_1904, elapsed)
+    except (OverflowError, ValueError):
+        return DATE_ERROR, False
+
+
+def _dated(number, from_1904, elapsed):
     if elapsed:
         return str(datetime.timedelta(days=number)), False
     span = datetime.timedelta(milliseconds=round(number * 86_400_000))

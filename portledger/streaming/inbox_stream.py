@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from portledger.plans.ingest import ingest, weekly_rows
 from portledger.plans.records import translated
 from portledger.schema import FILE_SCHEMA
-from portledger.sources.inbox import DONE_SUFFIX, WORKBOOK_SUFFIX
+from portledger.sources.inbox import WORKBOOK_SUFFIX, literal, qualified, unprocessed
 from portledger.sources.workbook import readable
 
 def weekly_stream(spark, folder, store, translations, checkpoint, prefix="stream", max_files=1000):
     """Start the stream over what is in ``folder`` now; returns the query.
 
-    Every micro-batch is one ingest batch with its own id, so a replayed micro-batch replaces itself.
+    Every micro-batch is one ingest batch, and a replayed micro-batch finds its keys stored.
     Failed files stay failed in the ledger; the batch job takes them up again.
     """
     files = (
@@ -23,9 +23,9 @@ def weekly_stream(spark, folder, store, translations, checkpoint, prefix="stream
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}")
         .option("maxFilesPerTrigger", max_files)
-        .load(folder)
-        .where(~F.col("path").endswith(DONE_SUFFIX))
+        .load(literal(spark, folder))
     )
+    files = unprocessed(files, qualified(spark, folder))
 
     def take(batch, epoch):
         listing = batch.select("path", F.col("modificationTime").alias("modification_time"), "length")

@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -159,16 +160,53 @@ def test_single_file_ignores_its_state(world):
         run(world, "w3", single_file=str(inbox / "missing.xlsx"))
 
 
-def test_repeating_a_batch_replaces_it(world):
+def test_repeating_a_batch_writes_nothing(world):
     _, inbox, store, _ = world
     (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(), weekly_row(product="x")))
-    first = run(world, "w1")
+    assert run(world, "w1") == {"a.xlsx": ("done", 2, 2, 0, 0)}
     before = sorted(map(str, store.records().collect()))
+    assert run(world, "w1") == {}
     # As after a crash between the records and the ledger.
-    assert run(world, "w1") == first
+    shutil.rmtree(f"{store.root}/ledger")
+    assert run(world, "w1") == {"a.xlsx": ("done", 2, 0, 2, 0)}
     assert sorted(map(str, store.records().collect())) == before
 
 
+def test_a_batch_id_used_again_deletes_nothing(world):
+    _, inbox, store, _ = world
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row(product="a")))
+    run(world, "w1")
+    os.rename(inbox / "a.xlsx", inbox.parent / "moved.xlsx")
+    (inbox / "b.xlsx").write_bytes(weekly_book(weekly_row(product="b")))
+    run(world, "w1")
+    (inbox / "c [1].xlsx").write_bytes(weekly_book(weekly_row(product="c")))
+    run(world, "w1", single_file=str(inbox / "c [1].xlsx"))
+    assert sorted(r["product_ko"] for r in store.records().collect()) == ["a", "b", "c"]
+    assert store.ledger().count() == 3
+
+
+def test_folder_spellings_find_the_same_files(world):
+    from portledger.sources.inbox import list_folder, qualified, unprocessed
+
+    spark, inbox, _, _ = world
+    (inbox / "sub").mkdir()
+    (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row()))
+    (inbox / "sub" / "b.xlsx").write_bytes(weekly_book(weekly_row()))
+    plain = str(inbox)
+    doubled = f"{inbox.parent}//{inbox.name}"
+    for folder in (plain, plain + "/", doubled, f"file:{plain}", f"file://{plain}"):
+        found = unprocessed(list_folder(spark, folder), qualified(spark, folder)).collect()
+        assert [r["path"].rsplit("/", 1)[1] for r in found] == ["a.xlsx"], folder
+
+
+def test_a_date_beyond_the_calendar_is_an_error_text():
+    from portledger.sources.workbook import _serial_date
+
+    for number in (99999999, 2958466, 1e300):
+        assert _serial_date(number, False, False) == ("#VALUE!", False)
+    assert _serial_date(2958465, False, False) == ("9999-12-31 00:00:00", True)
+
+
 def test_missing_or_empty_inbox(world):
     spark, inbox, store, tmp = world
     assert run(world, "w1") == {}

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -243,7 +244,7 @@ def test_nearest_neighbours(spark):
     rows = [(int(i), [float(v) for v in r]) for i, r in enumerate(x)]
     odd = [(5_000, None), (5_100, [0.0] * dim), (5_200, [float("nan")] * dim), (5_300, [1.0, None] + [1.0] * (dim - 2)), (5_400, [1.0]), (None, rows[0][1])]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").repartition(4)
-    found = ann.nearest_neighbours(df, df["vec_id"] % 100 == 0, part=700).collect()
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 100 == 0, part=700).collect()
     want = exact_neighbours(np.arange(n), x, range(0, n, 100), 10)
     got = {}
     for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
@@ -258,19 +259,19 @@ def test_nearest_neighbours(spark):
 
 def test_nearest_neighbours_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 2.0])], "vec_id long, embedding array<float>")
-    rows = ann.nearest_neighbours(df, df["vec_id"] % 100 == 0).orderBy("rank").collect()
+    rows = ann.nearest_neighbours(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()
     assert [tuple(r) for r in rows] == [(0, 1, 1, 0.0), (0, 2, 2, 1.0)]
-    assert ann.nearest_neighbours(df.where("false"), df["vec_id"] == 0).count() == 0
+    assert ann.nearest_neighbours(df.where("false"), F.col("vec_id") == 0).count() == 0
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages(spark, tmp_path):
     """Each stage keeps clean documents and does its own work."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     columns, before = docs.columns, docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, before, SF_DIR)
         assert after.columns == columns
-        path = f"{spark.sparkContext._jvm.java.nio.file.Files.createTempDirectory('stage')}/{name}"
+        path = str(tmp_path / name)
         after.write.parquet(path)
         after = spark.read.parquet(path)
         old, new = ({r["doc_id"]: r["text"] for r in df.collect()} for df in (before, after))

@@ -43,9 +43,9 @@ def new_records(batch, stored, key=DEDUP_KEY, order=LINEAGE, keys_fit=None):
     keyed, names = _with_key(batch, key)
     firsts = _first(keyed, names, order)
     stored_keys = stored.select(*[safe_str(c).alias(n) for c, n in zip(key, names)])
-    batch_keys = keyed.select(*names)
+    batch_keys = keyed.select(*names).distinct()
     if fits_broadcast(batch_keys) if keys_fit is None else keys_fit:
-        hits = stored_keys.join(F.broadcast(batch_keys.distinct()), names, "left_semi").distinct()
+        hits = stored_keys.join(F.broadcast(batch_keys), names, "left_semi").distinct()
         fresh = firsts.join(F.broadcast(hits), names, "left_anti")
     else:
         fresh = firsts.join(stored_keys.distinct(), names, "left_anti")

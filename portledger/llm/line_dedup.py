@@ -14,8 +14,9 @@ Copies of a line post once per task. A long list of postings first compares its
 earliest line only; what is found to repeat needs no more. The rest meet all other members of the list by
 a join that Spark may split, so a hot segment is neither one task's work nor all pairs of its list.
 
-``deduplicated`` removes repeats from a document unless they make up half of its text or more: such a document
-is a copy, which document deduplication must see whole. A document that loses all its words goes.
+``deduplicated`` removes repeats from a document unless half of its text or more repeats one other document: such a
+document is a copy, which document deduplication must see whole. Repeats of several documents, or of the document
+itself, do not add up to a copy. A document that loses all its words goes.
 
 Null or empty text has no lines to remove. Rows equal in ``doc_id`` and text count as one document. Null ids
 come last. Columns named like a result's are replaced.
@@ -233,14 +234,15 @@ def _verified(docs, pairs, k):
 
 
 def _later(near, firsts):
-    """The line of each near pair that first occurs later."""
+    """``(line, earlier)``: the line of each near pair that first occurs later, and its earliest partner's first place."""
     place = lambda name: firsts.select(F.col("line").alias(name), F.col("first").alias(f"{name}_first"))
     joined = near.join(place("a"), "a").join(place("b"), "b")
-    return joined.select(F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a")).alias("line")).distinct()
+    later = F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a"))
+    return joined.groupBy(later.alias("line")).agg(F.min(F.least("a_first", "b_first")).alias("earlier"))
 
 
 def near_repeats(docs, firsts, k=EDITS):
-    """``(line)``: hashes of the lines that have an earlier near line."""
+    """``(line, earlier)``: hashes of the lines that have an earlier near line, and the first place of one."""
     postings = _long_lines(docs).mapInArrow(_poster(k), POSTINGS)
     listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "letters")
     candidates = stored(listed.mapInArrow(_lister(LONG_LIST, k), CANDIDATES), "candidates")
@@ -262,33 +264,43 @@ def near_repeats(docs, firsts, k=EDITS):
         more = more.join(first_turn, ["a", "b"], "left_anti")
         more = stored(more, "pairs")
         if more.limit(1).count():
-            later = stored(later.unionByName(_later(_verified(docs, more, k), firsts)).distinct(), "repeats")
+            both = later.unionByName(_later(_verified(docs, more, k), firsts))
+            later = stored(both.groupBy("line").agg(F.min("earlier").alias("earlier")), "repeats")
     return later
 
 
 def repeated_lines(docs, k=EDITS):
-    """``(doc, tie, n, chars)`` of every line that repeats an earlier one."""
+    """``(doc, tie, n, chars, of)`` of every line that repeats an earlier one; ``of`` is the earlier one's place."""
     rows = line_rows(docs).where(F.col("chars") >= LEAST)
     place = F.struct("doc", "tie", "n")
     firsts = rows.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     firsts = stored(firsts, "lines")
     near = near_repeats(docs, firsts, k)
     several = firsts.where("copies > 1").select("line", "first")
-    marks = several.join(near.withColumn("near", F.lit(True)), "line", "full")
-    joined = rows.join(marks, "line").where(F.coalesce("near", F.lit(False)) | (place > F.col("first")))
-    return joined.select("doc", "tie", "n", "chars").distinct()
+    marks = several.join(near, "line", "full")
+    joined = rows.join(marks, "line").where(F.col("earlier").isNotNull() | (place > F.col("first")))
+    return joined.select("doc", "tie", "n", "chars", F.coalesce("earlier", "first").alias("of")).distinct()
 
 
 def marked(docs, k=EDITS):
-    """Per document that has repeats: ``(doc, tie, repeats, repeated_chars)``; ``repeats`` are line numbers from 0."""
+    """Per document that has repeats: ``(doc, tie, repeats, repeated_chars, copied_chars)``.
+
+    ``repeats`` are line numbers from 0; ``copied_chars`` is the most that repeats one other document.
+    """
     repeats = repeated_lines(docs, k)
-    return repeats.groupBy("doc", "tie").agg(
-        F.sort_array(F.collect_list("n")).alias("repeats"), F.sum("chars").alias("repeated_chars")
+    other = (F.col("of.doc") != F.col("doc")) | (F.col("of.tie") != F.col("tie"))
+    each = repeats.groupBy("doc", "tie", F.col("of.doc").alias("of_doc"), F.col("of.tie").alias("of_tie")).agg(
+        F.collect_list("n").alias("lines"), F.sum("chars").alias("all"), F.sum(F.when(other, F.col("chars"))).alias("copied")
+    )
+    return each.groupBy("doc", "tie").agg(
+        F.sort_array(F.flatten(F.collect_list("lines"))).alias("repeats"),
+        F.sum("all").alias("repeated_chars"),
+        F.coalesce(F.max("copied"), F.lit(0)).alias("copied_chars"),
     )
 
 
 def deduplicated(docs, k=EDITS):
-    """``docs`` without repeated lines, except in documents that repeat half of their text or more."""
+    """``docs`` without repeated lines, except in documents that repeat half of their text or more from one other."""
     marks = stored(marked(docs, k), "marks")
     text = as_text(docs)
     rows = docs.select(
@@ -298,7 +310,7 @@ def deduplicated(docs, k=EDITS):
         F.xxhash64(text).alias("tie"),
     )
     joined = rows.join(small_side(marks, 5_000), ["doc", "tie"], "left")
-    strip = F.col("repeats").isNotNull() & (2 * F.col("repeated_chars") < F.length("_text"))
+    strip = F.col("repeats").isNotNull() & (2 * F.col("copied_chars") < F.length("_text"))
     kept = F.array_join(F.filter(F.split("_text", "\n"), lambda line, i: ~F.array_contains("repeats", i)), "\n")
     joined = joined.withColumn("_strip", strip).withColumn("_kept", F.when(strip, kept).otherwise(F.col("_row.text")))
     joined = joined.where(~F.col("_strip") | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
@@ -326,6 +338,6 @@ def op9_line_dedup(spark, sf_dir):
         "n_lines",
         F.coalesce(F.size("repeats"), F.lit(0)).cast("long").alias("n_repeats"),
         chars.alias("repeated_chars"),
-        (F.col("repeats").isNotNull() & (2 * chars >= F.col("n_chars"))).alias("is_copy"),
+        (F.col("repeats").isNotNull() & (2 * F.col("copied_chars") >= F.col("n_chars"))).alias("is_copy"),
         F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"),
     )

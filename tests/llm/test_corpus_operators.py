@@ -225,6 +225,21 @@ def test_deduplicated_documents(spark):
     assert line_dedup.deduplicated(docs.where("false")).count() == 0
 
 
+def test_repeats_of_several_documents_are_no_copy(spark):
+    line = lambda i: f"{'abcdefgh'[i] * 5} line number {i} that is long enough to be looked at {'abcdefgh'[i] * 11}"
+    own = line(6)
+    rows = [(i, line(i)) for i in range(3)]
+    # 3 repeats three documents, 4 itself; 5 repeats the lines that 3 has first no more than others.
+    rows += [(3, "\n".join([line(0), line(1), line(2), own])), (4, "\n".join([line(7)] * 4))]
+    rows += [(5, rows[3][1])]
+    docs = documents(spark, rows)
+    text = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
+    assert text == {**{i: line(i) for i in range(3)}, 3: own, 4: line(7)}
+    whole = documents(spark, rows[:1] + [(8, "\n".join([own, line(3), line(4)])), (9, "\n".join([own, line(3) + "!", line(4), line(5)]))])
+    text = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(whole).collect()}
+    assert text[9].startswith(own)
+
+
 def exact_neighbours(ids, x, queries, nearest):
     out = {}
     for q in queries:

@@ -299,8 +299,11 @@ def marked(docs, k=EDITS):
     )
 
 
-def deduplicated(docs, k=EDITS):
-    """``docs`` without repeated lines, except in documents that repeat half of their text or more from one other."""
+def deduplicated(docs, k=EDITS, whole_copies=True):
+    """``docs`` without repeated lines, except in documents that repeat half of their text or more from one other.
+
+    ``whole_copies=False`` strips these too, for documents whose near copies are gone.
+    """
     marks = stored(marked(docs, k), "marks")
     text = as_text(docs)
     rows = docs.select(
@@ -310,7 +313,9 @@ def deduplicated(docs, k=EDITS):
         F.xxhash64(text).alias("tie"),
     )
     joined = rows.join(small_side(marks, 5_000), ["doc", "tie"], "left")
-    strip = F.col("repeats").isNotNull() & (2 * F.col("copied_chars") < F.length("_text"))
+    strip = F.col("repeats").isNotNull()
+    if whole_copies:
+        strip = strip & (2 * F.col("copied_chars") < F.length("_text"))
     kept = F.array_join(F.filter(F.split("_text", "\n"), lambda line, i: ~F.array_contains("repeats", i)), "\n")
     joined = joined.withColumn("_strip", strip).withColumn("_kept", F.when(strip, kept).otherwise(F.col("_row.text")))
     joined = joined.where(~F.col("_strip") | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))

@@ -38,6 +38,8 @@ NEAREST = 10
 COLUMNS = 16
 # Width of the hypothesis test: larger keeps more candidates.
 MARGIN = 2.1
+# Rounding of a partial distance, as a share of the squared lengths: exact copies may be this far apart.
+ROUNDING = 1e-12
 FIRST = 256
 CHUNK = 1_024
 
@@ -142,11 +144,16 @@ def _prober(index, sizes, probes, least):
     return probe
 
 
-def scan_list(ids, x, rotated, query_id, query, rotation, nearest=NEAREST):
-    """The nearest found of one part of a list: ``(id, distance)``, by the adaptive dimension scan."""
+def scan_list(ids, x, rotated, query_id, query, rotation, nearest=NEAREST, longest=None):
+    """The nearest found of one part of a list: ``(id, distance)``, by the adaptive dimension scan.
+
+    ``longest`` is the largest squared length in ``x``, for callers that scan a part many times.
+    """
     dim = x.shape[1]
     q = query @ rotation
     exact = lambda at: np.sqrt(((x[at] - query) ** 2).sum(axis=1))
+    longest = (x**2).sum(axis=1).max(initial=0.0) if longest is None else longest
+    slack = ROUNDING * (query @ query + longest)
     start = np.flatnonzero(ids[:FIRST] != query_id)
     best_at, best = start, exact(start)
     keep = np.lexsort((ids[best_at], best))[:nearest]
@@ -161,11 +168,11 @@ def scan_list(ids, x, rotated, query_id, query, rotation, nearest=NEAREST):
             partial += ((block[alive] - q[done : done + width]) ** 2).sum(axis=1)
             done += width
             if done < dim:
-                inside = partial * (dim / done) <= limit * (1 + MARGIN / np.sqrt(done)) ** 2
+                inside = partial * (dim / done) <= limit * (1 + MARGIN / np.sqrt(done)) ** 2 + slack * (dim / done)
                 alive, partial = alive[inside], partial[inside]
             if not len(alive):
                 break
-        alive = alive[partial <= limit * (1 + 1e-9)]
+        alive = alive[partial <= limit * (1 + 1e-9) + slack]
         if len(alive):
             best_at, best = np.concatenate([best_at, alive]), np.concatenate([best, exact(alive)])
             keep = np.lexsort((ids[best_at], best))[:nearest]
@@ -182,9 +189,10 @@ def _scanner(index, nearest):
         ids, x = members.column("vec_id").to_numpy(), matrix(members)
         whole = x @ index.rotation
         rotated = [np.ascontiguousarray(whole[:, c : c + COLUMNS]) for c in range(0, index.dim, COLUMNS)]
+        longest = (x**2).sum(axis=1).max()
         found = []
         for query_id, query in zip(queries.column("vec_id").to_pylist(), matrix(queries)):
-            near, score = scan_list(ids, x, rotated, query_id, query, index.rotation, nearest)
+            near, score = scan_list(ids, x, rotated, query_id, query, index.rotation, nearest, longest)
             found.append((np.full(len(near), query_id), near, score))
         columns = [np.concatenate(c) for c in zip(*found)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

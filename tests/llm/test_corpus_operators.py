@@ -293,6 +293,24 @@ def test_nearest_neighbours(spark):
         assert all(abs(np.sqrt(((x[i] - x[q]) ** 2).sum()) - d) < 1e-12 for i, d in near)
 
 
+@pytest.mark.parametrize("dim", [24, 64, 384])
+def test_scan_keeps_all_copies(dim):
+    """Of 2,000 copies in one list the smallest ids are found, wherever they lie."""
+    rng = np.random.default_rng(dim)
+    rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    x = rng.standard_normal((3_000, dim))
+    x[:2_000] = x[0]
+    ids = np.arange(3_000)
+    order = rng.permutation(3_000)
+    ids, x = ids[order], x[order]
+    whole = x @ rotation
+    rotated = [np.ascontiguousarray(whole[:, c : c + ann.COLUMNS]) for c in range(0, dim, ann.COLUMNS)]
+    for query in (0, 777, 1_999):
+        near, score = ann.scan_list(ids, x, rotated, query, x[ids == query][0], rotation)
+        assert near.tolist() == [i for i in range(11) if i != query][:10]
+        assert not score.any()
+
+
 def test_nearest_neighbours_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 2.0])], "vec_id long, embedding array<float>")
     rows = ann.nearest_neighbours(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()

@@ -1,8 +1,9 @@
 """Line deduplication by a segment-partition edit join.
 
 A line is a repeat if the same line, or one within ``EDITS`` edits (code points inserted, deleted or
-replaced), first occurs earlier; lines are ordered by document id and line number. Lines shorter than
-``LEAST`` code points are left alone.
+replaced), first occurs earlier; lines are ordered by document id and line number. The same line counts at any
+length, if it has a letter or digit. Pairs whose shorter line has under ``LEAST`` code points may differ by one edit, and
+lines under ``SHORT`` not at all.
 
 Of two lines within ``k`` edits, cut one into ``k + 1`` segments: one segment lies unchanged in the other, near
 its old place. So each line indexes its segments under (length, number, hash) and probes with the few
@@ -32,6 +33,7 @@ from portledger.llm.common import as_text, small_side, stored
 
 EDITS = 2
 LEAST = 40
+SHORT = 20
 # Postings lists of more lines go through their earliest line first.
 LONG_LIST = 32
 NO_ID = (1 << 63) - 1
@@ -51,17 +53,24 @@ def segments(length, k):
     return out
 
 
-def probes(length, k):
+def threshold(length, k):
+    """Edits allowed in a pair whose shorter line has this length."""
+    return k if length >= LEAST else min(k, 1)
+
+
+def probes(length, k, least=LEAST):
     """``(indexed length, segment, start, width)`` of the substrings of a line that may equal a segment.
 
     A segment's shift is bounded from either end by the edits that the other segments must hold.
     """
     out = []
-    for other in range(max(LEAST, length - k), length + 1):
-        gap = length - other
-        for i, (at, width) in enumerate(segments(other, k)):
-            low = max(0, at - i, at + gap - (k - i))
-            high = min(length - width, at + i, at + gap + (k - i))
+    for other in range(max(least, length - k), length + 1):
+        gap, most = length - other, threshold(other, k)
+        if gap > most:
+            continue
+        for i, (at, width) in enumerate(segments(other, most)):
+            low = max(0, at - i, at + gap - (most - i))
+            high = min(length - width, at + i, at + gap + (most - i))
             out += [(other, i, p, width) for p in range(low, high + 1)]
     return out
 
@@ -109,6 +118,8 @@ def line_rows(docs):
         F.xxhash64(text).alias("tie"),
         F.posexplode(F.split(text, "\n")).alias("n", "body"),
     )
+    # Blank lines and rules of signs are layout.
+    rows = rows.where(F.col("body").rlike(r"[\p{L}\p{N}]") | (F.length("body") >= LEAST))
     return rows.select("doc", "tie", "n", F.xxhash64("body").alias("line"), F.length("body").alias("chars"))
 
 
@@ -118,13 +129,13 @@ def letters_of(body):
     return int((odd << np.arange(32)).sum().astype(np.uint32).view(np.int32))
 
 
-def _poster(k):
+def _poster(k, least):
     plans = {}
 
     def plan(length):
         if length not in plans:
-            own = [(length << 8 | i, at, at + w) for i, (at, w) in enumerate(segments(length, k))]
-            plans[length] = own, [(o << 8 | i, p, p + w) for o, i, p, w in probes(length, k)]
+            own = [(length << 8 | i, at, at + w) for i, (at, w) in enumerate(segments(length, threshold(length, k)))]
+            plans[length] = own, [(o << 8 | i, p, p + w) for o, i, p, w in probes(length, k, least)]
         return plans[length]
 
     def post(batches):
@@ -208,24 +219,24 @@ def _verifier(k):
     def verify(batches):
         for batch in batches:
             a, b = batch.column("a_body").to_pylist(), batch.column("b_body").to_pylist()
-            near = pa.array([within(x, y, k) for x, y in zip(a, b)], pa.bool_())
+            near = pa.array([within(x, y, threshold(min(len(x), len(y)), k)) for x, y in zip(a, b)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(near)
 
     return verify
 
 
-def _long_lines(docs):
+def _long_lines(docs, least):
     text = as_text(docs)
     rows = docs.select(
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"), F.posexplode(F.split(text, "\n")).alias("n", "body")
-    ).where(F.length("body") >= LEAST)
+    ).where((F.length("body") >= least) & (F.col("body").rlike(r"[\p{L}\p{N}]") | (F.length("body") >= LEAST)))
     return rows.select("doc", "n", F.xxhash64("body").alias("line"), "body")
 
 
-def _verified(docs, pairs, k):
+def _verified(docs, pairs, k, least):
     """The ``(a, b)`` of ``pairs`` whose texts are within ``k`` edits."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
-    found = _long_lines(docs).select("line", "body").join(small_side(wanted), "line", "left_semi")
+    found = _long_lines(docs, least).select("line", "body").join(small_side(wanted), "line", "left_semi")
     # One text per line: equal hashes stand for equal texts.
     bodies = found.groupBy("line").agg(F.min("body").alias("body"))
     bodies = stored(bodies, "bodies")
@@ -241,14 +252,14 @@ def _later(near, firsts):
     return joined.groupBy(later.alias("line")).agg(F.min(F.least("a_first", "b_first")).alias("earlier"))
 
 
-def near_repeats(docs, firsts, k=EDITS):
+def near_repeats(docs, firsts, k=EDITS, least=LEAST):
     """``(line, earlier)``: hashes of the lines that have an earlier near line, and the first place of one."""
-    postings = _long_lines(docs).mapInArrow(_poster(k), POSTINGS)
+    postings = _long_lines(docs, least).mapInArrow(_poster(k, least), POSTINGS)
     listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "letters")
     candidates = stored(listed.mapInArrow(_lister(LONG_LIST, k), CANDIDATES), "candidates")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first_turn = stored(ordered(candidates.where("not rest")), "pairs")
-    later = stored(_later(_verified(docs, first_turn, k), firsts), "repeats")
+    later = stored(_later(_verified(docs, first_turn, k, least), firsts), "repeats")
     # Second turn: members of long lists that are not known to repeat yet meet all the list's other lines.
     rest = candidates.where("rest")
     if rest.limit(1).count():
@@ -264,18 +275,21 @@ def near_repeats(docs, firsts, k=EDITS):
         more = more.join(first_turn, ["a", "b"], "left_anti")
         more = stored(more, "pairs")
         if more.limit(1).count():
-            both = later.unionByName(_later(_verified(docs, more, k), firsts))
+            both = later.unionByName(_later(_verified(docs, more, k, least), firsts))
             later = stored(both.groupBy("line").agg(F.min("earlier").alias("earlier")), "repeats")
     return later
 
 
-def repeated_lines(docs, k=EDITS):
-    """``(doc, tie, n, chars, of)`` of every line that repeats an earlier one; ``of`` is the earlier one's place."""
-    rows = line_rows(docs).where(F.col("chars") >= LEAST)
+def repeated_lines(docs, k=EDITS, least=LEAST):
+    """``(doc, tie, n, chars, of)`` of every line that repeats an earlier one; ``of`` is the earlier one's place.
+
+    Lines under ``least`` code points are left alone.
+    """
+    rows = line_rows(docs).where(F.col("chars") >= least)
     place = F.struct("doc", "tie", "n")
     firsts = rows.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     firsts = stored(firsts, "lines")
-    near = near_repeats(docs, firsts, k)
+    near = near_repeats(docs, firsts, k, max(least, SHORT))
     several = firsts.where("copies > 1").select("line", "first")
     marks = several.join(near, "line", "full")
     joined = rows.join(marks, "line").where(F.col("earlier").isNotNull() | (place > F.col("first")))
@@ -287,7 +301,7 @@ def marked(docs, k=EDITS):
 
     ``repeats`` are line numbers from 0; ``copied_chars`` is the most that repeats one other document.
     """
-    repeats = repeated_lines(docs, k)
+    repeats = repeated_lines(docs, k, least=1)
     other = (F.col("of.doc") != F.col("doc")) | (F.col("of.tie") != F.col("tie"))
     each = repeats.groupBy("doc", "tie", F.col("of.doc").alias("of_doc"), F.col("of.tie").alias("of_tie")).agg(
         F.collect_list("n").alias("lines"), F.sum("chars").alias("all"), F.sum(F.when(other, F.col("chars"))).alias("copied")

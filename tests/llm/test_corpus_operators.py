@@ -212,6 +212,25 @@ def test_line_dedup_against_brute_force(spark, monkeypatch, long_list):
     assert sorted((r["doc"], r["n"]) for r in got.collect()) == want
 
 
+def test_short_lines_against_brute_force(spark):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcd") for _ in range(n)) for n in (3, 12, 18, 19, 20, 21, 24, 30, 38, 39, 40, 41, 44) * 2]
+    rows = [(i, "\n".join(changed(rng, rng.choice(base), 2) for _ in range(rng.randrange(1, 5)))) for i in range(90)]
+    rows += [(200, "---\n\n---\n \n==="), (201, "---\nagain\nagain"), (202, "again")]
+    lines = sorted({(d, n, x) for d, t in rows for n, x in enumerate(t.split("\n")) if any(c.isalnum() for c in x)})
+    first = {}
+    for d, n, x in lines:
+        first.setdefault(x, (d, n))
+    most = lambda n: 2 if n >= 40 else 1 if n >= 20 else 0
+    near = {x for x in first if any(first[y] < first[x] and edits(x, y) <= most(min(len(x), len(y))) for y in first if x != y)}
+    want = {}
+    for d, n, x in lines:
+        if x in near or (d, n) > first[x]:
+            want.setdefault(d, []).append(n)
+    got = {r["doc"]: r["repeats"] for r in line_dedup.marked(documents(spark, rows)).collect()}
+    assert got == want
+
+
 def test_deduplicated_documents(spark):
     shared = "this line is long enough to be looked at and is in many documents"
     own = "\n".join(f"{c * 3} own line of a document that is long enough to be looked at {c * 9}" for c in "abc")

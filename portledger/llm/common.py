@@ -1,5 +1,7 @@
 """Shared pieces of the training-data operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from portledger.session import checkpoint_root, scratch_path
@@ -20,6 +22,39 @@ def stored(df, name):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark, path):
+    """Delete a folder of the shared file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Working tables of one run, below one folder of the shared checkpoint folder, dropped at the end.
+
+    A result that outlives the run is checkpointed inside it.
+    """
+
+    def __init__(self, spark, name):
+        self.spark = spark
+        self.root = scratch_path(spark, name)
+        self.name = self.root.rsplit("/", 1)[-1]
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        drop_folder(self.spark, self.root)
+
+    def path(self, name):
+        return f"{self.root}/{name}"
+
+    def stored(self, df, name):
+        """``df`` written to the folder and read again: lineage ends there."""
+        path = self.path(f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def small_side(df, rows=BROADCAST_ROWS):
     """``df`` marked for broadcast when it has at most ``rows`` (narrow) rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -21,6 +21,8 @@ from portledger.schema import (
 from portledger.session import pinned
 
 STATUS_ROW = -1
+# ``block`` of the row that closes a file.
+LAST_BLOCK = -1
 
 
 @dataclass(frozen=True)
@@ -146,12 +148,13 @@ def rows_of_grid(grid, layout):
 def rows_of_blocks(blocks, layout):
     """Data rows of decoded blocks, plus one status row per file (``row_idx = -1``) with its message.
 
-    Narrow all the way: the layout is computed once per block, then the block is exploded.
+    Narrow all the way: the layout is computed once per block, then the block is exploded. The status row comes from the
+    row that closes a file; rows of a file that broke before its end are there too, and its status has the error.
     """
     status = F.array(F.lit(None).cast(SHEET_ROW))
     none = F.array().cast(f"array<{SHEET_ROW.simpleString()}>")
     emitted = F.concat(
-        F.when(F.col("block") == 0, status).otherwise(none),
+        F.when(F.col("block") == LAST_BLOCK, status).otherwise(none),
         F.when(F.col("message").isNull(), F.col("rows")).otherwise(none),
     )
     rows = with_layout(blocks, layout).select(

@@ -11,35 +11,34 @@ from portledger.operators.dedup import counter_totals, ingest_counters
 from portledger.operators.lookup import Translations
 from portledger.operators.sheet import HISTORICAL, STATUS_ROW, WEEKLY, rows_of_blocks
 from portledger.plans.records import historical_records, translated, weekly_fields
-from portledger.schema import FILE_SCHEMA, HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
+from portledger.operators.joins import fits_broadcast
+from portledger.schema import HISTORICAL_SHEET, LEDGER_SCHEMA, LOOKUP_SHEET
 from portledger.session import pinned, scratch_path
-from portledger.sources.inbox import escaped, list_folder, literal, pending_files, qualified, read_pending
-from portledger.sources import workbook
-from portledger.sources.workbook import decode_workbooks, grid_of, readable, scan_workbooks
+from portledger.sources.inbox import escaped, list_folder, list_path, literal, pending_files, qualified
+from portledger.sources.workbook import grid_of, scan_workbooks, whole_files
 
 BACKFILL_BATCH = "0000-backfill"
 
 
 def load_translations(spark, workbook_path):
     """Lookup table of a workbook; one that cannot be read or lacks the lookup sheet is an error."""
-    listing, _ = _load(spark, escaped(workbook_path))
-    if listing.where(F.col("length") > workbook.MAX_WORKBOOK_BYTES).limit(1).count():
-        raise ValueError(f"{workbook_path} is too large to read")
-    blocks = scan_workbooks(spark, escaped(workbook_path), LOOKUP_SHEET)
-    bad = blocks.where(F.col("error").isNotNull()).select("error").first()
-    if bad:
-        raise ValueError(bad["error"])
+    listing = list_path(spark, escaped(workbook_path))
+    blocks, bad = whole_files(scan_workbooks(listing, LOOKUP_SHEET))
+    error = bad.first()
+    if error:
+        raise ValueError(error["error"])
     return Translations.from_grid(grid_of(blocks))
 
 
-def weekly_rows(files):
-    """Untranslated record rows and status rows of weekly workbooks."""
-    return weekly_fields(rows_of_blocks(decode_workbooks(files), WEEKLY))
+def weekly_rows(listing, opener=None):
+    """Untranslated record rows and status rows of listed weekly workbooks."""
+    return weekly_fields(rows_of_blocks(scan_workbooks(listing, opener=opener), WEEKLY))
 
 
-def historical_rows(files):
-    """Record and status rows of historical workbooks."""
-    return historical_records(rows_of_blocks(decode_workbooks(files, HISTORICAL_SHEET), HISTORICAL))
+def historical_rows(listing, opener=None):
+    """Record and status rows of listed historical workbooks."""
+    blocks = scan_workbooks(listing, HISTORICAL_SHEET, opener)
+    return historical_records(rows_of_blocks(blocks, HISTORICAL))
 
 
 class Stage:
@@ -59,26 +58,32 @@ class Stage:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def ingest(rows, listing, store, batch_id, dry_run=False, finish=None):
-    """Dedup-append ``rows`` and write one ledger row per listed file; returns the ledger rows.
+def ingest(rows_of, listing, store, batch_id, dry_run=False, finish=None):
+    """Dedup-append the rows of the listed files and write one ledger row per file; returns the ledger rows.
 
-    ``rows`` are record rows plus one status row per decoded file; ``finish`` completes new rows. The listing is written down before
-    the files are read: a file replaced meanwhile shows up with a new time and is taken again. The
-    ledger is written after the records: a run that stops in between finds its keys stored and
-    repeats without harm.
+    ``rows_of(listing)`` gives record rows plus one status row per file; ``finish`` completes new rows. The listing is
+    written down once, and the tasks that open the files are dealt from what was written: a file replaced meanwhile shows
+    up with a new time and is taken again. Rows of a file that broke midway are dropped by its status. The
+    ledger is written after the records, and nothing of a run counts before its ledger is there.
     """
-    stage = Stage(rows.sparkSession)
+    stage = Stage(listing.sparkSession)
     try:
         listed = stage.table("listing", listing)
-        staged = stage.table("rows", rows)
+        if listed.isEmpty():
+            return stage.spark.createDataFrame([], LEDGER_SCHEMA)
+        staged = stage.table("rows", rows_of(listed))
         files = staged.where(F.col("row_idx") == STATUS_ROW).select("src_file", "message")
         batch = staged.where(F.col("row_idx") > STATUS_ROW).drop("message")
+        # Files without a header or column left no rows; only those broken midway have some to drop.
+        bad = files.where(F.col("message").isNotNull()).select("src_file")
+        if bad.limit(1).count():
+            batch = batch.join(F.broadcast(bad) if fits_broadcast(bad) else bad, "src_file", "left_anti")
         if dry_run:
             return pinned(ledger_rows(listed, ingest_counters(files, batch, store.fresh(batch)), batch_id))
-        store.ensure()
-        written = store.append(batch, batch_id, finish)
+        pub = store.begin()
+        written = store.append(batch, batch_id, finish, pub)
         entries = ledger_rows(listed, ingest_counters(files, batch, written), batch_id)
-        return store.write_ledger(entries, batch_id)
+        return store.write_ledger(entries, pub)
     finally:
         stage.drop()
 
@@ -86,9 +91,7 @@ def ingest(rows, listing, store, batch_id, dry_run=False, finish=None):
 def ledger_rows(listing, counters, batch_id):
     """One row per listed file: done, empty or failed, with its counts."""
     joined = listing.join(counters.withColumnRenamed("src_file", "path"), "path", "left")
-    gone = F.when(F.col("length") > workbook.MAX_WORKBOOK_BYTES, "file is too large to read").otherwise(
-        "file was replaced or removed while it was read"
-    )
+    gone = F.lit("file was replaced or removed while it was read")
     message = F.coalesce("message", F.when(F.col("parsed").isNull(), gone))
     status = F.when(message.isNotNull(), "failed").when(F.col("parsed") == 0, "empty").otherwise("done")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
@@ -111,33 +114,21 @@ def ledger_totals(entries):
     return counter_totals(entries.withColumnRenamed("path", "src_file"))
 
 
-def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, single_file=None):
+def weekly_ingest(spark, folder, store, translations, batch_id, dry_run=False, single_file=None, opener=None):
     """Ingest every pending workbook of ``folder``, or just ``single_file`` whatever its state.
 
     Returns the ledger rows of the run; nothing pending gives none.
     """
     if single_file is not None:
         # A missing file is an error here, as there is nothing else to do.
-        listing, files = _load(spark, escaped(single_file))
+        listing = list_path(spark, escaped(single_file))
     else:
         listing = pending_files(list_folder(spark, folder), store.ledger(), qualified(spark, folder))
-        files = read_pending(spark, listing, folder)
-    if files is None:
-        if listing.isEmpty():
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        files = spark.createDataFrame([], FILE_SCHEMA)
     finish = lambda fresh: translated(fresh, translations)
-    return ingest(weekly_rows(files), listing, store, batch_id, dry_run, finish)
+    return ingest(lambda listed: weekly_rows(listed, opener), listing, store, batch_id, dry_run, finish)
 
 
-def historical_ingest(spark, path, store, dry_run=False, batch_id=BACKFILL_BATCH):
+def historical_ingest(spark, path, store, dry_run=False, batch_id=BACKFILL_BATCH, opener=None):
     """Ingest the historical workbook (or workbooks) at ``path``; repeating it writes nothing new."""
-    listing, files = _load(spark, literal(spark, path))
-    return ingest(historical_rows(files), listing, store, batch_id, dry_run)
-
-
-def _load(spark, path):
-    """All files at ``path`` as a listing, and those that can be read with their contents."""
-    files = spark.read.format("binaryFile").load(path)
-    listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
-    return listing, readable(files)
+    listing = list_path(spark, literal(spark, path))
+    return ingest(lambda listed: historical_rows(listed, opener), listing, store, batch_id, dry_run)

@@ -1,21 +1,16 @@
-"""Which workbooks are waiting, and reading them."""
+"""Which workbooks are waiting: a listing without contents, joined with the ledger."""
 
 import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from portledger.sources.workbook import readable
-
 # File names.
 WORKBOOK_SUFFIX = ".xlsx"
 DONE_SUFFIX = "_done.xlsx"
 
 LISTING_SCHEMA = "path string, modification_time timestamp, length bigint"
 
-# Up to this many pending files are read by path; beyond it the folder is scanned and filtered.
-MAX_LISTED_PATHS = 10_000
-
 
 def escaped(path):
     """``path`` with glob characters taken literally."""
@@ -39,8 +34,18 @@ def qualified(spark, path):
     return fs.makeQualified(folder).toString()
 
 
+def listing_of(files):
+    """Files of the binary source as ``(path, modification_time, length)``; contents are not read."""
+    return files.select("path", F.col("modificationTime").alias("modification_time"), "length")
+
+
+def list_path(spark, path):
+    """All files at ``path``, a file, folder or glob; one that is not there is an error."""
+    return listing_of(spark.read.format("binaryFile").load(path))
+
+
 def list_folder(spark, folder):
-    """Files directly in ``folder`` as ``(path, modification_time, length)``; contents are not read."""
+    """Workbooks directly in ``folder``; a folder that is not there has none."""
     folder = literal(spark, folder)
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(folder)
@@ -48,7 +53,7 @@ def list_folder(spark, folder):
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LISTING_SCHEMA)
-    return files.select("path", F.col("modificationTime").alias("modification_time"), "length")
+    return listing_of(files)
 
 
 def unprocessed(listing, folder):
@@ -71,22 +76,3 @@ def pending_files(listing, ledger, folder):
     """
     done = ledger.where(F.col("status") == "done").select("path", "modification_time")
     return unprocessed(listing, folder).join(done, ["path", "modification_time"], "left_anti")
-
-
-def read_pending(spark, pending, folder):
-    """Contents of the pending files, as ``(path, modificationTime, length, content)``.
-
-    None if there is no file to read.
-    """
-    known = readable(pending).select("path", "modification_time")
-    first = [r["path"] for r in known.select("path").take(MAX_LISTED_PATHS + 1)]
-    reader = spark.read.format("binaryFile")
-    if len(first) <= MAX_LISTED_PATHS:
-        return reader.load([escaped(p) for p in first]) if first else None
-    # Only files in the pending time range are opened; the join then keeps exactly the pending ones.
-    oldest = known.agg(F.min("modification_time")).first()[0]
-    files = reader.option("pathGlobFilter", f"*{WORKBOOK_SUFFIX}").load(literal(spark, folder))
-    wanted = known.withColumnRenamed("modification_time", "modificationTime")
-    return files.where(F.col("modificationTime") >= F.lit(oldest)).join(
-        wanted, ["path", "modificationTime"], "left_semi"
-    )

@@ -1,25 +1,50 @@
 """Workbook scan: one xlsx file per input row in, blocks of sheet rows out.
 
-Only this step runs Python per file. Spark lists, splits and ships the files; a task walks one
-workbook's XML at a time and hands its rows on as Arrow batches. Everything after it is DataFrame work.
+Only this step runs Python per file. Tasks get paths and lengths, are filled by size, and open the files themselves,
+in ranges: a file's bytes are no column and never move between tasks, and no file is too large. A task walks
+one workbook's XML at a time and hands blocks on as they fill. Everything after it is DataFrame work.
+
+A file is published in two steps. Its blocks leave before its end is seen; a last row, ``block = LAST``, says whether
+the file was good. ``whole_files`` (or a join on the status rows) drops what came from a file that broke midway.
 """
 
 import datetime
+import io
 import re
 import sys
 import zipfile
+from array import array
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from portledger.operators.joins import fits_broadcast
+from portledger.operators.ranking import with_global_rank
 from portledger.schema import BLOCK_SCHEMA, HEADER_SEARCH_ROWS
+from portledger.session import pinned
 
+# A block leaves when it holds so many rows or so much text.
 BLOCK_ROWS = 512
+BLOCK_CHARS = 4 << 20
+
+# ``block`` of the row that closes a file.
+LAST = -1
+
+# Bytes a task reads at once, and what opening a file counts for when tasks are filled.
+READ_BYTES = 1 << 20
+OPEN_COST = 4 << 20
 
-# binaryFile cannot hold a larger file in one row; such files are reported, not read.
-MAX_WORKBOOK_BYTES = (1 << 31) - (1 << 20)
+# Listings of so few files are numbered in one task; longer ones by ranges, with the same numbers.
+SHORT_LISTING = 10_000
+
+# File systems that tasks open themselves, by scheme; other stores are read by Spark, file by file.
+DIRECT = {"file": "LocalFileSystem", "s3": "S3FileSystem", "s3a": "S3FileSystem", "gs": "GcsFileSystem"}
+
+# Spark cannot hold a larger file in one row; only stores that tasks cannot open know this limit.
+MAX_CONTENT_BYTES = (1 << 31) - (1 << 20)
 
 # Built-in number formats that show a date or a time (ECMA-376 part 1, 18.8.30).
 _DATE_FORMAT_IDS = {*range(14, 23), 45, 46, 47}
@@ -42,31 +67,149 @@ _BLOCK = pa.schema(
 )
 
 
-def scan_workbooks(spark, paths, sheet=None):
-    """Blocks of all workbooks at ``paths`` (a folder, a file or a list)."""
-    return decode_workbooks(readable(spark.read.format("binaryFile").load(paths)), sheet)
+def scheme_of(path):
+    return path.partition(":")[0] if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", path) else "file"
 
 
-def readable(files):
-    """The files small enough to be read; the length test is applied before contents are opened."""
-    return files.where(F.col("length") <= MAX_WORKBOOK_BYTES)
+def open_direct(path):
+    """A seekable file of a store in ``DIRECT``, read in ranges."""
+    import pyarrow.fs
 
+    scheme = scheme_of(path)
+    name = path[len(scheme) + 1 :] if path.startswith(scheme + ":") else path
+    # A local path has one slash or three after its scheme; others name a bucket.
+    name = "/" + name.lstrip("/") if scheme == "file" else name.lstrip("/")
+    file = getattr(pyarrow.fs, DIRECT[scheme])().open_input_file(name)
+    return io.BufferedReader(_Ranges(file), READ_BYTES)
 
-def decode_workbooks(files, sheet=None):
-    """Decode rows of ``(path, content)`` into blocks; ``sheet=None`` takes each file's first sheet.
 
-    A file that cannot be read gives one block with ``error`` set and no rows, never part of its rows.
+class _Ranges(io.RawIOBase):
+    """A file of an Arrow file system as Python's own kind; a place before its start is an OSError, as zip readers expect."""
+
+    def __init__(self, file):
+        self.file, self.size, self.at = file, file.size(), 0
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def seek(self, offset, whence=io.SEEK_SET):
+        at = offset + (0, self.at, self.size)[whence]
+        if at < 0:
+            raise OSError("place before the start of the file")
+        self.at = at
+        return at
+
+    def tell(self):
+        return self.at
+
+    def readinto(self, buffer):
+        data = self.file.read_at(min(len(buffer), max(0, self.size - self.at)), self.at)
+        buffer[: len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+    def close(self):
+        if not self.closed:
+            self.file.close()
+        super().close()
+
+
+def scan_workbooks(listing, sheet=None, opener=None):
+    """Blocks of all listed workbooks, ``(path, length)`` and more; ``sheet=None`` takes each file's first sheet.
+
+    ``opener`` turns a path into a seekable file inside a task, for stores beyond ``DIRECT``. Without one, files of such stores
+    are read by Spark. The listing must give the same rows each time it is read.
+    """
+    total = F.coalesce(F.sum(F.col("length") + OPEN_COST), F.lit(0))
+    if opener is not None:
+        return _decoded_paths(listing, listing.agg(total, F.count("*")).first(), sheet, opener)
+    scheme = F.when(F.col("path").rlike("^[A-Za-z][A-Za-z0-9+.-]+:"), F.substring_index("path", ":", 1)).otherwise("file")
+    by_task = scheme.isin(list(DIRECT))
+    # Two rows at most; of both kinds only those that are there are planned.
+    kinds = {r[0]: r[1:] for r in listing.groupBy(by_task).agg(total, F.count("*")).collect()}
+    parts = []
+    if True in kinds or not kinds:
+        parts.append(_decoded_paths(listing.where(by_task), kinds.get(True, (0, 0)), sheet, open_direct))
+    if False in kinds:
+        parts.append(_decoded_contents(listing.where(~by_task), sheet))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _decoded_paths(listing, measured, sheet, opener):
+    def decode(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield from _blocks(path, lambda: opener(path), sheet)
+
+    return dealt_by_size(listing, *measured).select("path").mapInArrow(decode, BLOCK_SCHEMA)
+
+
+def dealt_by_size(listing, total, files):
+    """The listing, of ``files`` files and ``total`` bytes, dealt to as many tasks as its bytes fill, largest files first, like cards.
+
+    A task gets about ``spark.sql.files.maxPartitionBytes``, less where that would leave cores idle, one file at least.
     """
+    spark = listing.sparkSession
+    full = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    tasks = max(1, min(files, max(-(-total // full), spark.sparkContext.defaultParallelism)))
+    order = [F.desc("length"), F.asc("path")]
+    listing = listing.select("path", "length")
+    if files <= SHORT_LISTING:
+        ranked = listing.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    else:
+        ranked = pinned(with_global_rank(listing, order))
+    return ranked.repartitionById(tasks, ((F.col("rank") - 1) % tasks).cast("int"))
+
+
+def _decoded_contents(listing, sheet):
+    """Files that only Spark can read, one row each; larger ones than a row holds are reported."""
+    spark = listing.sparkSession
+    names = listing.where(F.col("length") <= MAX_CONTENT_BYTES).select("path").distinct()
+    folder = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)))")
+    # A run lists one folder, or files that a caller named.
+    folders = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", r[0]) for r in listing.select(folder).distinct().collect()]
+    files = spark.read.format("binaryFile").load(folders)
+    # Only listed files are opened; while their names fit a broadcast (measured), contents stay where they are read.
+    listed = files.join(F.broadcast(names) if fits_broadcast(names) else names, "path", "left_semi")
+    blocks = decode_workbooks(listed, sheet)
+    large = listing.where(F.col("length") > MAX_CONTENT_BYTES).select(F.col("path").alias("file"))
+    message = "file is too large for a store that tasks cannot open"
+    closing = {f.name: F.lit(None).cast(f.dataType) for f in BLOCK_SCHEMA.fields if f.name != "file"}
+    closing |= {"block": F.lit(LAST), "error": F.lit(message), "head": F.array().cast(BLOCK_SCHEMA["head"].dataType)}
+    closing["rows"] = closing["head"]
+    return blocks.unionByName(large.withColumns(closing))
+
+
+def decode_workbooks(files, sheet=None):
+    """Decode rows of ``(path, content)`` into blocks."""
 
     def decode(batches):
         for batch in batches:
             paths, contents = batch.column(0), batch.column(1)
             for i in range(batch.num_rows):
-                yield from _blocks(paths[i].as_py(), contents[i].as_buffer(), sheet)
+                yield from _blocks(paths[i].as_py(), lambda: pa.BufferReader(contents[i].as_buffer()), sheet)
 
     return files.select("path", "content").mapInArrow(decode, BLOCK_SCHEMA)
 
 
+def whole_files(blocks):
+    """The blocks of files that were good to their end, with their closing rows, and the errors of the others.
+
+    The blocks are checkpointed, so no file is read twice; bad files are dropped by a join afterwards.
+    """
+    blocks = pinned(blocks)
+    bad = blocks.where((F.col("block") == LAST) & F.col("error").isNotNull()).select("file", "error")
+    if bad.limit(1).count() == 0:
+        return blocks, bad
+    names = bad.select("file")
+    return blocks.join(F.broadcast(names) if fits_broadcast(names) else names, "file", "left_anti"), bad
+
+
 def grid_of(blocks):
     """Blocks as the flat relation ``(file, sheet, row_idx, cells)``, one row per sheet row."""
     return blocks.select("file", "sheet", F.explode("rows").alias("r")).select(
@@ -74,25 +217,27 @@ def grid_of(blocks):
     )
 
 
-def _blocks(path, content, sheet):
-    # All blocks of a file are built before the first is handed on, so a file fails as a whole.
+def _blocks(path, opened, sheet):
+    # Blocks leave as they fill; the last row says whether the file was good.
+    head, name = [], sheet
     try:
-        out, head, chunk, name = [], [], [], sheet
-        with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+        with opened() as source, zipfile.ZipFile(source) as archive:
             book = _Workbook(archive)
             name, member = book.find(sheet)
+            chunk, chars, made = [], 0, 0
             for row in book.rows(member):
                 if row["row_idx"] < HEADER_SEARCH_ROWS:
                     head.append(row)
                 chunk.append(row)
-                if len(chunk) == BLOCK_ROWS:
-                    out.append(_batch(path, name, len(out), head, chunk, None))
-                    chunk = []
-            if chunk or not out:
-                out.append(_batch(path, name, len(out), head, chunk, None))
+                chars += sum(map(len, filter(None, row["cells"])))
+                if len(chunk) == BLOCK_ROWS or chars >= BLOCK_CHARS:
+                    yield _batch(path, name, made, head, chunk, None)
+                    chunk, chars, made = [], 0, made + 1
+            if chunk:
+                yield _batch(path, name, made, head, chunk, None)
+        yield _batch(path, name, LAST, head, [], None)
     except Exception as exc:  # any broken file is one error row; the other files go on
-        out = [_batch(path, sheet, 0, [], [], f"{type(exc).__name__}: {exc}")]
-    return out
+        yield _batch(path, name, LAST, head, [], f"{type(exc).__name__}: {exc}")
 
 
 def _batch(*values):
@@ -109,6 +254,37 @@ def _children(element, name):
     return [e for e in element.iter() if _local(e.tag) == name]
 
 
+def _elements(part, name, parent):
+    """Elements ``name`` of an XML part as they end, each detached from ``parent`` afterwards, so none is kept."""
+    holder = None
+    for event, e in ElementTree.iterparse(part, ("start", "end")):
+        tag = _local(e.tag)
+        if event == "start":
+            if tag == parent:
+                holder = e
+        elif tag == name:
+            yield e
+            e.clear()
+            if holder is not None:
+                holder.clear()
+
+
+class _Strings:
+    """Texts by number, end to end in one buffer: little more than their bytes."""
+
+    def __init__(self):
+        self.data, self.ends = bytearray(), array("q", [0])
+
+    def append(self, text):
+        self.data += text.encode("utf-8", "surrogatepass")
+        self.ends.append(len(self.data))
+
+    def __getitem__(self, i):
+        if i < 0:
+            raise IndexError(i)
+        return self.data[self.ends[i] : self.ends[i + 1]].decode("utf-8", "surrogatepass")
+
+
 class _Workbook:
     """The few parts of an xlsx package needed to read cell values."""
 
@@ -146,12 +322,10 @@ class _Workbook:
         return sheet, self.sheets[sheet]
 
     def _shared_strings(self):
-        strings = []
+        strings = _Strings()
         with self.archive.open("xl/sharedStrings.xml") as part:
-            for _, e in ElementTree.iterparse(part):
-                if _local(e.tag) == "si":
-                    strings.append(_rich_text(e))
-                    e.clear()
+            for e in _elements(part, "si", "sst"):
+                strings.append(_rich_text(e))
         return strings
 
     def _date_styles(self):
@@ -171,14 +345,12 @@ class _Workbook:
         """Rows in sheet order with their zero-based sheet position; rows without cells are left out."""
         with self.archive.open(member) as part:
             at = -1
-            for _, e in ElementTree.iterparse(part):
-                if e.tag[-4:] == "}row":
-                    position = e.get("r")
-                    at = int(position) - 1 if position else at + 1
-                    row = self._row(at, e)
-                    e.clear()
-                    if row["cells"]:
-                        yield row
+            for e in _elements(part, "row", "sheetData"):
+                position = e.get("r")
+                at = int(position) - 1 if position else at + 1
+                row = self._row(at, e)
+                if row["cells"]:
+                    yield row
 
     def _row(self, at, element):
         cells, dated, col = [], [], -1

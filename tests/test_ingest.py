@@ -214,30 +214,38 @@ def test_missing_or_empty_inbox(world):
     assert weekly_ingest(spark, str(tmp / "nowhere"), store, table, "w1").collect() == []
 
 
-def test_many_files_are_scanned_by_folder(world, monkeypatch):
-    from portledger.sources import inbox as source
+@pytest.mark.parametrize("files", [1, 60])
+def test_any_number_of_files_takes_one_path(world, files):
+    from portledger.plans.ingest import weekly_rows
+    from portledger.sources.inbox import list_folder
 
-    _, inbox, store, _ = world
-    for i in range(6):
-        (inbox / f"{i}.xlsx").write_bytes(weekly_book(weekly_row(product=f"p{i}")))
-    os.utime(inbox / "0.xlsx", (1000, 1000))
-    run(world, "w0", single_file=str(inbox / "3.xlsx"))
-    monkeypatch.setattr(source, "MAX_LISTED_PATHS", 2)
+    spark, inbox, store, _ = world
+    for i in range(files):
+        (inbox / f"{i:03}.xlsx").write_bytes(weekly_book(weekly_row(product=f"p{i}")))
+    if files > 1:
+        run(world, "w0", single_file=str(inbox / "003.xlsx"))
+    plan = weekly_rows(list_folder(spark, str(inbox)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "content" not in plan and "Join" not in plan
     got = run(world, "w1")
-    assert sorted(got) == ["0.xlsx", "1.xlsx", "2.xlsx", "4.xlsx", "5.xlsx"]
-    assert store.records().count() == 6
+    assert len(got) == max(1, files - 1) and all(v == ("done", 1, 1, 0, 0) for v in got.values())
+    assert store.records().count() == files
 
 
-def test_files_too_large_to_read_are_reported(world, monkeypatch):
-    from portledger.sources import workbook
+def test_a_file_broken_midway_gives_no_records(world):
+    import io
+    import zipfile
 
     _, inbox, store, _ = world
-    (inbox / "large.xlsx").write_bytes(bytes(100_000))
-    monkeypatch.setattr(workbook, "MAX_WORKBOOK_BYTES", 50_000)
-    assert run(world, "w1") == {"large.xlsx": ("failed", 0, 0, 0, 1)}
-    assert store.ledger().first()["message"] == "file is too large to read"
-    (inbox / "small.xlsx").write_bytes(weekly_book(weekly_row()))
-    assert run(world, "w2") == {"large.xlsx": ("failed", 0, 0, 0, 1), "small.xlsx": ("done", 1, 1, 0, 0)}
+    book = weekly_book(*[weekly_row(product=f"p{i}") for i in range(2000)])
+    source, out = zipfile.ZipFile(io.BytesIO(book)), io.BytesIO()
+    with zipfile.ZipFile(out, "w") as target:
+        for name in source.namelist():
+            data = source.read(name)
+            target.writestr(name, data[: len(data) // 2] if "sheet1" in name else data)
+    (inbox / "cut.xlsx").write_bytes(out.getvalue())
+    (inbox / "good.xlsx").write_bytes(weekly_book(weekly_row(product="p0")))
+    assert run(world, "w1") == {"cut.xlsx": ("failed", 0, 0, 0, 1), "good.xlsx": ("done", 1, 1, 0, 0)}
+    assert store.records().count() == 1
 
 
 def test_historical_backfill(world):
@@ -292,7 +300,7 @@ def test_sources_share_the_store(world):
     (inbox / "a.xlsx").write_bytes(weekly_book(weekly_row("20200115", product="녹용"), weekly_row()))
     assert run(world, "w1") == {"a.xlsx": ("done", 2, 1, 1, 0)}
     marts.refresh_reports(store, names(world))
-    report = lambda n: spark.read.parquet(f"{store.root}/reports/{n}")
+    report = store.report
     assert {tuple(r) for r in report("monthly_by_type").collect()} == {(2020, 1, 0, 1, 0, 1), (2026, 5, 1, 0, 0, 1)}
     assert [tuple(r) for r in report("yearly_by_country").orderBy("year").collect()] == [
         (2020, 1, 0, 0, 0, 1), (2026, 1, 0, 0, 0, 1)]
@@ -334,3 +342,16 @@ def test_stream_takes_new_files_once(world):
     assert store.ledger().where(F.col("path").endswith("d.xlsx")).select("written", "skipped").first() == (1, 1)
     # What the stream has taken is done for the batch job, too; what failed is tried again.
     assert set(run(world, "w9")) == {"c.xlsx"}
+    # The stream takes it again once it is repaired, with a new file or without.
+    (inbox / "c.xlsx").write_bytes(weekly_book(weekly_row(product="repaired")))
+    os.utime(inbox / "c.xlsx", (2_000_000_000, 2_000_000_000))
+    (inbox / "e.xlsx").write_bytes(b"junk")
+    stream()
+    assert store.records().count() == 3
+    (inbox / "e.xlsx").write_bytes(weekly_book(weekly_row(product="repaired, too")))
+    os.utime(inbox / "e.xlsx", (2_000_000_000, 2_000_000_000))
+    stream()
+    assert store.records().count() == 4
+    entries = store.ledger().count()
+    stream()
+    assert store.ledger().count() == entries

@@ -4,18 +4,20 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from checks.workbooks import column_name, workbook_bytes
 from portledger.sources import workbook as wb
-from portledger.sources.workbook import decode_workbooks, grid_of, scan_workbooks
+from portledger.sources.inbox import escaped, list_folder, list_path
+from portledger.sources.workbook import LAST, decode_workbooks, grid_of, scan_workbooks, whole_files
 
 
 def decoded(spark, content, sheet=None):
     files = spark.createDataFrame([("f", bytearray(content))], "path string, content binary")
-    blocks = decode_workbooks(files, sheet)
-    error = blocks.select("error").first()[0]
+    blocks, bad = whole_files(decode_workbooks(files, sheet))
+    error = bad.first()
     rows = {r["row_idx"]: r["cells"] for r in grid_of(blocks).collect()}
-    return rows, error
+    return rows, error and error["error"]
 
 
 @pytest.mark.parametrize("shared", [True, False])
@@ -39,7 +41,7 @@ def test_many_blocks_share_the_head(spark):
     rows = {i: [str(i)] for i in range(3, 2000)}
     files = spark.createDataFrame([("f", bytearray(workbook_bytes({"s": rows})))], "path string, content binary")
     blocks = decode_workbooks(files).collect()
-    assert [b["block"] for b in blocks] == list(range(len(blocks))) and len(blocks) > 3
+    assert [b["block"] for b in blocks] == [*range(len(blocks) - 1), LAST] and len(blocks) > 4
     assert all([r["row_idx"] for r in b["head"]] == [3, 4] for b in blocks)
     assert [r["row_idx"] for b in blocks for r in b["rows"]] == list(range(3, 2000))
 
@@ -77,8 +79,8 @@ def test_broken_file_is_one_error_row(spark, tmp_path):
     (tmp_path / "good.xlsx").write_bytes(good)
     (tmp_path / "junk.xlsx").write_bytes(b"not a workbook")
     (tmp_path / "한글 [1].xlsx").write_bytes(workbook_bytes({"s": [["x"]]}))
-    blocks = scan_workbooks(spark, str(tmp_path))
-    errors = {r["file"].rsplit("/", 1)[1]: r["error"] for r in blocks.where("block = 0").collect()}
+    blocks = scan_workbooks(list_folder(spark, str(tmp_path)))
+    errors = {r["file"].rsplit("/", 1)[1]: r["error"] for r in blocks.where(f"block = {LAST}").collect()}
     assert errors["good.xlsx"] is None and errors["한글 [1].xlsx"] is None
     assert errors["junk.xlsx"].startswith("BadZipFile")
     assert grid_of(blocks).count() == 1501
@@ -138,7 +140,8 @@ def test_tasks_need_no_installed_package(tmp_path):
     code = (
         "import sys, pyarrow as pa; from pyspark import cloudpickle; "
         "blocks, book = cloudpickle.loads(sys.stdin.buffer.read()); "
-        "print(blocks('p', pa.py_buffer(book), None)[0].column('rows')[0].as_py()[0]['cells'])"
+        "first = next(blocks('p', lambda: pa.BufferReader(book), None)); "
+        "print(first.column('rows')[0].as_py()[0]['cells'])"
     )
     sent = cloudpickle.dumps((wb._blocks, workbook_bytes({"s": [["a", 1, (43845, 1)]]}, styles=[0, 14])))
     run = subprocess.run(
@@ -147,5 +150,101 @@ def test_tasks_need_no_installed_package(tmp_path):
     assert run.stdout.decode().strip() == "['a', '1', '2020-01-15 00:00:00']", run.stderr.decode()
 
 
+def broken_midway(rows):
+    import io
+    import zipfile
+
+    source = zipfile.ZipFile(io.BytesIO(workbook_bytes({"s": rows})))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as target:
+        for name in source.namelist():
+            data = source.read(name)
+            target.writestr(name, data[: len(data) // 2] if "sheet1" in name else data)
+    return out.getvalue()
+
+
+def test_blocks_leave_before_the_end_and_bad_files_are_dropped_afterwards(spark, tmp_path):
+    (tmp_path / "bad.xlsx").write_bytes(broken_midway({i: ["v"] for i in range(3000)}))
+    (tmp_path / "good.xlsx").write_bytes(workbook_bytes({"s": {i: ["v"] for i in range(3000)}}))
+    blocks = scan_workbooks(list_folder(spark, str(tmp_path)))
+    assert blocks.where("file like '%bad.xlsx' and block >= 0").count() > 0
+    whole, bad = whole_files(blocks)
+    assert {r["file"].rsplit("/", 1)[1] for r in grid_of(whole).select("file").distinct().collect()} == {"good.xlsx"}
+    assert grid_of(whole).count() == 3000 and bad.count() == 1
+
+
+def test_plan_moves_no_contents(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.xlsx").write_bytes(workbook_bytes({"s": [[str(i)] * (i + 1)]}))
+    blocks = scan_workbooks(list_folder(spark, str(tmp_path)))
+    assert sorted(int(r["cells"][0]) for r in grid_of(blocks).collect()) == list(range(40))
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    # Two exchanges of the narrow listing, none above the files.
+    assert "content:binary" not in plan and plan.count("Exchange") == 2 and plan.index("MapInArrow") < plan.index("Exchange")
+
+
+def test_tasks_are_filled_by_size(spark, monkeypatch):
+    sizes = [(f"file:/x/{i}", (i % 3) * 300 << 20) for i in range(64)]
+    listing = spark.createDataFrame(sizes, "path string, length long")
+    total = sum(n for _, n in sizes) + 64 * wb.OPEN_COST
+    dealt = wb.dealt_by_size(listing, total, 64)
+    monkeypatch.setattr(wb, "SHORT_LISTING", 0)
+    by_ranges = wb.dealt_by_size(listing, total, 64)
+    tasks = lambda df: sorted(sorted(r["path"] for r in part) for part in df.rdd.glom().collect())
+    assert tasks(dealt) == tasks(by_ranges)
+    loads = [sum(r["length"] for r in part) for part in dealt.rdd.glom().collect()]
+    assert len(loads) > 100 or max(loads) <= sum(loads) / len(loads) + (600 << 20)
+    assert sum(loads) == sum(n for _, n in sizes) and sum(1 for x in loads if x) >= 42
+
+
+def test_memory_does_not_grow_with_the_file(tmp_path):
+    # The peak of a decoding process, 5,000 against 500,000 rows of unlike texts.
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[2]); from portledger.sources import workbook as wb; "
+        "n = sum(len(b.column('rows')[0]) for b in wb._blocks('p', lambda: wb.open_direct(sys.argv[1]), None)); "
+        "print(n, next(line.split()[1] for line in open('/proc/self/status') if line.startswith('VmHWM')))"
+    )
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(wb.__file__)))
+    peaks = []
+    for n in (5_000, 500_000):
+        path = tmp_path / f"{n}.xlsx"
+        path.write_bytes(workbook_bytes({"s": {i: [f"number {i}", i, "again"] for i in range(n)}}, shared=True))
+        run = subprocess.run([sys.executable, "-c", code, str(path), os.path.dirname(root)], capture_output=True, text=True)
+        rows, peak = map(int, run.stdout.split())
+        assert rows == n
+        peaks.append(peak)
+    assert peaks[1] < 2 * peaks[0], peaks
+
+
+def test_other_stores_are_read_by_spark(spark, tmp_path, monkeypatch):
+    (tmp_path / "a [1].xlsx").write_bytes(workbook_bytes({"s": [["a"]]}))
+    (tmp_path / "b.xlsx").write_bytes(workbook_bytes({"s": [["b"]]}))
+    (tmp_path / "large.xlsx").write_bytes(bytes(100_000))
+    (tmp_path / "unlisted.xlsx").write_bytes(workbook_bytes({"s": [["no"]]}))
+    listing = list_folder(spark, str(tmp_path)).where("path not like '%unlisted%'")
+    monkeypatch.setattr(wb, "DIRECT", {"s3": "S3FileSystem"})
+    monkeypatch.setattr(wb, "MAX_CONTENT_BYTES", 50_000)
+    whole, bad = whole_files(scan_workbooks(listing))
+    assert sorted(r["cells"][0] for r in grid_of(whole).collect()) == ["a", "b"]
+    assert [r["file"].rsplit("/", 1)[1] for r in bad.collect()] == ["large.xlsx"]
+
+
+def test_a_caller_may_open_files_itself(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook_bytes({"s": [["a"]]}))
+    listing = list_path(spark, escaped(str(tmp_path / "a.xlsx"))).withColumn("path", F.lit("own://a"))
+    place = str(tmp_path / "a.xlsx")
+    blocks = scan_workbooks(listing, opener=lambda path: open(place, "rb"))
+    assert [r["file"] for r in grid_of(blocks).collect()] == ["own://a"]
+
+
+def test_a_missing_file_is_an_error_row(spark, tmp_path):
+    listing = spark.createDataFrame([(f"file:{tmp_path}/gone.xlsx", 10)], "path string, length long")
+    row = scan_workbooks(listing).first()
+    assert row["block"] == LAST and row["error"].startswith("FileNotFoundError")
+    assert scan_workbooks(listing.where("false")).isEmpty()
+
+
 def test_column_letters():
     assert [wb._column_index(column_name(i)) for i in (0, 25, 26, 701, 702)] == [0, 25, 26, 701, 702]

@@ -112,6 +112,29 @@ UNION ALL SELECT file, row_idx, CASE file WHEN 'h2' THEN m ELSE y END, CASE file
 UNION ALL SELECT file, row_idx, ' ', NULL, '', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM data WHERE blank
 """
 
+# The weekly grid as many workbooks: rows go to workbooks by their position, each with its grid's first rows.
+_W14 = ", ".join(f"c{i}" for i in range(14))
+_H14 = ", ".join(f"h.c{i}" for i in range(14))
+WEEKLY_WORKBOOKS = f"""
+WITH g AS ({WEEKLY_GRID}), head AS (SELECT * FROM g WHERE row_idx < 10),
+body AS (SELECT file AS grid, file || '-' || CAST(CAST(FLOOR(row_idx / 6000) AS BIGINT) AS STRING) || '.xlsx' AS file,
+  CAST(10 + row_idx % 6000 AS INT) AS row_idx, {_W14} FROM g WHERE row_idx >= 10)
+SELECT p.file, h.row_idx, {_H14} FROM (SELECT DISTINCT grid, file FROM body) p JOIN head h ON p.grid = h.file
+UNION ALL SELECT file, row_idx, {_W14} FROM body
+"""
+
+# The historical grid in the same way; the one with a title row only is a workbook of its own.
+_W17 = ", ".join(f"c{i}" for i in range(17))
+_H17 = ", ".join(f"h.c{i}" for i in range(17))
+HISTORICAL_WORKBOOKS = f"""
+WITH g AS ({HISTORICAL_GRID}), head AS (SELECT * FROM g WHERE row_idx < 2),
+body AS (SELECT file AS grid, file || '-' || CAST(CAST(FLOOR(row_idx / 6000) AS BIGINT) AS STRING) || '.xlsx' AS file,
+  CAST(2 + row_idx % 6000 AS INT) AS row_idx, {_W17} FROM g WHERE row_idx >= 2),
+p AS (SELECT DISTINCT grid, file FROM body UNION ALL SELECT 'h3', 'h3-0.xlsx')
+SELECT p.file, h.row_idx, {_H17} FROM p JOIN head h ON p.grid = h.file
+UNION ALL SELECT file, row_idx, {_W17} FROM body
+"""
+
 # Exporter names as they come in: padded, some unknown to the lookup sheet.
 EXPORTERS = """
 SELECT s_suppkey AS seq, CASE WHEN s_suppkey % 10 = 0 THEN 'New ' || s_name ELSE ' ' || s_name || ' ' END AS exporter_en FROM {supplier}

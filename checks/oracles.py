@@ -2,7 +2,52 @@
 
 from checks import fixtures as fx
 from checks.fixtures import in_duckdb
-from portledger.schema import HISTORICAL_HEADERS, RECORD_COLUMNS, WEEKLY_COLUMNS, WEEKLY_HEADERS
+
+# Header texts, their fields, and field order, as the data contract has them.
+WEEKLY_HEADERS = {
+    "처리일자": "date",
+    "수입업체": "importer_ko",
+    "신고번호": "report_no",
+    "품목제조번호": "item_no",
+    "제품명(한글)": "product_ko",
+    "제품명(영문)": "product_en",
+    "품목류": "product_type_ko",
+    "수출국": "country_export_ko",
+    "제조국": "country_origin_ko",
+    "제조사(영문)": "exporter_en",
+    "순중량(KG)": "weight_kg",
+    "수량(갯수)": "quantity",
+    "유통기한": "expiry_date",
+    "원산지": "country_origin_raw",
+}
+HISTORICAL_HEADERS = {
+    "Year": "year",
+    "Month": "month",
+    "Day": "day",
+    "Importer": "importer_en",
+    "Translation of type": "product_type_en",
+    "Country of origin": "country_origin_en",
+    "Country of export": "country_export_en",
+    "Importer (Korean)": "importer_ko",
+    "Product name (Korean)": "product_ko",
+    "Product name (English)": "product_en",
+    "Product type (Korean)": "product_type_ko",
+    "Exporter (English)": "exporter_en",
+    "Date": "date",
+    "Expire date start from": "expiry_date",
+    "Country of origin (KR)": "country_origin_ko",
+    "Country of export (KR)": "country_export_ko",
+}
+RECORD_COLUMNS = (
+    "year month day date importer_en importer_ko product_ko product_en product_type_ko product_type_en "
+    "country_origin_en country_origin_ko country_export_en country_export_ko exporter_en expiry_date "
+    "type_frozen type_dried type_ambiguous source report_no item_no weight_kg quantity country_origin_raw "
+).split()
+WEEKLY_COLUMNS = (
+    "year month day date importer_en importer_ko product_ko product_en product_type_ko product_type_en "
+    "country_origin_en country_origin_ko country_export_en country_export_ko exporter_en expiry_date "
+    "report_no item_no weight_kg quantity country_origin_raw type_frozen type_dried type_ambiguous source "
+).split()
 
 F, G, H, L = (
     in_duckdb(s)
@@ -187,6 +232,36 @@ historical AS (SELECT x.*, file AS src_file, {_historical_flags('product_type_ko
 
 LINEAGE = "src_file, row_idx"
 
+# JOB: what the weekly job makes of the workbooks; ``jn`` counts per file, ``jwin`` are the records.
+JW, JH = in_duckdb(fx.WEEKLY_WORKBOOKS), in_duckdb(fx.HISTORICAL_WORKBOOKS)
+GJ = _grid(JW, 14, f"LIST_HAS_ALL(names, {_W7})", WEEKLY_HEADERS, "j")
+GK = _grid(JH, 17, "row_idx = 1", HISTORICAL_HEADERS, "k")
+YEAR = "CASE WHEN REGEXP_MATCHES(date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN SUBSTRING(date,1,4) ELSE 'none' END AS yr"
+JOB_ROWS = f"""{GJ}, j0 AS (SELECT file, row_idx, {_picked(WEEKLY_HEADERS)} FROM jd),
+jr AS (SELECT file, row_idx, {_clean(WEEKLY_HEADERS, _date)} FROM j0)"""
+JOB = f"""{JOB_ROWS}, jwin AS (
+  SELECT * FROM jr QUALIFY ROW_NUMBER() OVER (PARTITION BY date, importer_ko, product_ko ORDER BY file, row_idx) = 1)"""
+BACKFILL_ROWS = f"""{GK}, k0 AS (SELECT file, row_idx, {_picked(HISTORICAL_HEADERS)} FROM kd),
+kr AS (SELECT file, row_idx, {_clean(HISTORICAL_HEADERS, _plain_date)} FROM k0),
+kwin AS (SELECT * FROM kr QUALIFY ROW_NUMBER() OVER (PARTITION BY date, importer_ko, product_ko ORDER BY file, row_idx) = 1)"""
+
+
+def _job_entries(p, win, texts, seven):
+    """Ledger rows of the grid CTEs with prefix ``p`` and written records ``win``."""
+    return f"""SELECT {p}f.file, CASE WHEN header_row IS NULL OR LEN(missing) > 0 THEN 'failed' WHEN COALESCE(n, 0) = 0 THEN 'empty' ELSE 'done' END AS status,
+  COALESCE(n, 0)::BIGINT AS parsed, COALESCE(w, 0)::BIGINT AS written, (COALESCE(n, 0) - COALESCE(w, 0))::BIGINT AS skipped,
+  CASE WHEN header_row IS NULL OR LEN(missing) > 0 THEN 1 ELSE 0 END::BIGINT AS errors,
+  CASE WHEN header_row IS NULL THEN 'header row not found, expected at least: {seven}'
+    WHEN LEN(missing) > 0 THEN 'missing columns: ' || ARRAY_TO_STRING(missing, ', ') END AS message
+FROM {p}f LEFT JOIN {p}m ON {p}f.file = {p}m.file
+  LEFT JOIN (SELECT file, COUNT(*) AS n FROM {p}r GROUP BY file) a ON a.file = {p}f.file
+  LEFT JOIN (SELECT file, COUNT(*) AS w FROM {win} GROUP BY file) b ON b.file = {p}f.file"""
+
+
+JOB_ENTRIES = _job_entries("j", "jwin", WEEKLY_HEADERS, ", ".join(list(WEEKLY_HEADERS)[:7]))
+BACKFILL_ENTRIES = _job_entries("k", "kwin", HISTORICAL_HEADERS, ", ".join(list(HISTORICAL_HEADERS)[:7]))
+AFTER_ENTRIES = _job_entries("j", "jafter", WEEKLY_HEADERS, ", ".join(list(WEEKLY_HEADERS)[:7]))
+
 KEY = "date, importer_ko, product_ko"
 FIRSTS = f"""firsts AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {KEY} ORDER BY file, seq) AS rn FROM r) t WHERE rn = 1),
 stored AS (SELECT DISTINCT {KEY} FROM r WHERE file = 'f0'),
@@ -199,9 +274,39 @@ who AS (SELECT ko, COUNT(*) AS total, ARG_MIN(importer_en, seq) AS first_en, MIN
 named AS (SELECT CASE WHEN ko = '__unknown__' THEN '' ELSE ko END AS importer_ko,
   COALESCE(NULLIF(first_en,''), ko) AS importer_en, ko, total, first_seq FROM who)"""
 
+TRANSLATED_FIELDS = ["importer_en", "product_type_en", "country_export_en", "country_origin_en"]
+
 ORACLES = {
     "workbook_scan": f"""WITH g AS ({G}) SELECT file || '-' || CAST(row_idx // {fx.WORKBOOK_SPAN} AS VARCHAR) || '.xlsx' AS file,
       row_idx % {fx.WORKBOOK_SPAN} AS row_idx, {", ".join(f"NULLIF(c{i},'') AS c{i}" for i in range(14))} FROM g""",
+    "sheet_by_name": f"""WITH g AS ({JW}) SELECT file, row_idx, {", ".join(f"NULLIF(c{i},'') AS c{i}" for i in range(14))} FROM g
+      WHERE file NOT LIKE 'g5%' UNION ALL SELECT DISTINCT file, -1, 'ValueError: sheet ''data'' not found, available: [''cover'', ''other'']',
+      {", ".join(["NULL"] * 13)} FROM g WHERE file LIKE 'g5%'""",
+    "weekly_job": f"WITH {JOB} {JOB_ENTRIES}",
+    "weekly_job_records": f"""WITH {JOB}, {LS}, w AS (SELECT {PARTS}, {_weekly_flags('product_type_ko')}, 'mfds' AS source, jwin.*,
+      file AS src_file, 'w1' AS batch_id, {YEAR} FROM jwin)
+      SELECT {", ".join(c for c in RECORD_COLUMNS if c not in TRANSLATED_FIELDS)}, {LINEAGE}, batch_id, yr,
+      {_looked_up('importer', 'importer_ko')} AS importer_en, {_looked_up('product_type', 'product_type_ko')} AS product_type_en,
+      {_looked_up('country', 'country_export_ko')} AS country_export_en, {_looked_up('country', 'country_origin_ko')} AS country_origin_en FROM w""",
+    "repeat_batch": f"""WITH {JOB}, first_run AS ({JOB_ENTRIES}) SELECT 'w1' AS batch_id, * FROM first_run
+      UNION ALL SELECT 'w1', * FROM first_run WHERE status <> 'done'
+      UNION ALL SELECT 'w2', file, status, parsed, 0, parsed, errors, message FROM first_run WHERE file = 'g0-0.xlsx'""",
+    "backfill_two_sources": f"""WITH {BACKFILL_ROWS}, {JOB},
+      jafter AS (SELECT * FROM jwin WHERE NOT EXISTS (SELECT 1 FROM kwin WHERE kwin.date = jwin.date
+        AND kwin.importer_ko = jwin.importer_ko AND kwin.product_ko = jwin.product_ko))
+      SELECT '0000-backfill' AS batch_id, * FROM ({BACKFILL_ENTRIES}) UNION ALL SELECT 'w1', * FROM ({AFTER_ENTRIES})""",
+    "reports_of_store": f"""WITH {C}, kept AS (
+        SELECT *, 1 AS pub FROM c WHERE file = 'f0' QUALIFY ROW_NUMBER() OVER (PARTITION BY {KEY} ORDER BY seq) = 1
+        UNION ALL SELECT *, 2 FROM (SELECT * FROM c QUALIFY ROW_NUMBER() OVER (PARTITION BY {KEY} ORDER BY file, seq) = 1) x
+        WHERE NOT EXISTS (SELECT 1 FROM c f WHERE f.file = 'f0' AND f.date = x.date AND f.importer_ko = x.importer_ko AND f.product_ko = x.product_ko)),
+      a AS (SELECT *, CASE WHEN importer_ko = '' THEN '__unknown__' ELSE importer_ko END AS ko FROM kept WHERE y <> 0),
+      per AS (SELECT ko, STRING_AGG(y::VARCHAR || ':' || n::VARCHAR, ',' ORDER BY y) AS years FROM (SELECT ko, y, COUNT(*) AS n FROM a GROUP BY ko, y) GROUP BY ko),
+      who AS (SELECT ko, COUNT(*) AS total, FIRST(importer_en ORDER BY pub, file, seq) AS en, MIN((pub, file, seq)) AS place FROM a GROUP BY ko),
+      named AS (SELECT ko, total, place, COALESCE(NULLIF(en,''), ko) AS name FROM who)
+      SELECT 'importers' AS report, CASE WHEN ko = '__unknown__' THEN '' ELSE ko END || '|' || name || '|' || years AS entry, total,
+        ROW_NUMBER() OVER (ORDER BY total DESC, name, place) AS place FROM named JOIN per USING (ko)
+      UNION ALL SELECT 'monthly', y || '|' || m || '|' || SUM((ptype = 'frozen')::INT) || '|' || SUM((ptype = 'dried')::INT) || '|' || SUM((ptype = 'ambiguous')::INT),
+        COUNT(*), NULL FROM kept WHERE y <> 0 AND m <> 0 GROUP BY y, m""",
     "header_rows": f"WITH {GW} SELECT file, header_row FROM wh",
     "fixed_header": f"WITH {GH} SELECT file AS src_file, row_idx, {_picked(HISTORICAL_HEADERS)} FROM hd",
     "schema_check": f"WITH {GW}, {GH} {_status('w')} UNION ALL {_status('h')}",
@@ -256,6 +361,7 @@ ORACLES = {
     "yearly_by_country": f"WITH {C} SELECT y AS year, {BY_COUNTRY}, COUNT(*) AS total FROM c WHERE y <> 0 GROUP BY y ORDER BY y",
     "type_country_pivot": _pivot(""),
     "type_country_pivot_year": _pivot("WHERE y = 1997"),
+    "type_country_pivot_year0": _pivot("WHERE y = 0"),
     "importer_years": f"""WITH {A} SELECT CASE WHEN ko = '__unknown__' THEN '' ELSE ko END AS importer_ko, y AS year, n FROM per_year""",
     "importer_names": f"""WITH {A}, {LS} SELECT named.importer_ko, COALESCE(NULLIF(lt.value,''), named.importer_en) AS importer_en
       FROM named LEFT JOIN lt ON lt.category = 'importer' AND lt.key = named.ko""",

@@ -3,15 +3,15 @@
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from checks.workbooks import encode_workbooks
+from checks.workbooks import write_workbooks
 from portledger.functions import classify, text
 from portledger.operators import dedup, lookup, sheet
 from portledger.plans import marts, records
-from portledger.plans.ingest import ledger_totals
+from portledger.plans.ingest import historical_ingest, ledger_totals, weekly_ingest
 from portledger.session import scratch_path
-from portledger.sources.inbox import pending_files
+from portledger.sources.inbox import list_folder, pending_files
 from portledger.sources.store import RecordStore
-from portledger.sources.workbook import decode_workbooks, grid_of
+from portledger.sources.workbook import grid_of, scan_workbooks, whole_files
 
 SEQ = ["seq"]
 FILE_ORDER = ["src_file", "row_idx"]
@@ -67,17 +67,49 @@ def translations(spark, sf):
 # ---- scans and sheets -----------------------------------------------------------------------------
 
 
+def _weekly_folder(spark, sf):
+    """The weekly workbooks as files in a fresh folder."""
+    grid = _cells(fx.relation(spark, sf, fx.WEEKLY_WORKBOOKS), 14)
+    return write_workbooks(grid, scratch_path(spark, "inbox"), lambda name, rows: {"data": rows, "notes": [["not this one"]]})
+
+
+def _historical_folder(spark, sf):
+    grid = _cells(fx.relation(spark, sf, fx.HISTORICAL_WORKBOOKS), 17)
+    return write_workbooks(
+        grid, scratch_path(spark, "history"), lambda name, rows: {"cover": [["cover"]], "import list": rows}
+    )
+
+
+def _name(path):
+    return F.substring_index(path, "/", -1)
+
+
 def workbook_scan(spark, sf):
     grid = weekly_grid(spark, sf)
     span = F.floor(F.col("row_idx") / fx.WORKBOOK_SPAN)
     placed = grid.select(
-        F.concat("file", F.lit("-"), span.cast("string"), F.lit(".xlsx")).alias("path"),
+        F.concat("file", F.lit("-"), span.cast("string"), F.lit(".xlsx")).alias("file"),
         (F.col("row_idx") % fx.WORKBOOK_SPAN).alias("row_idx"),
         "cells",
     )
-    scanned = grid_of(decode_workbooks(encode_workbooks(placed)))
+    sheets = lambda name, rows: {"data": rows, "notes": [["not this one"]]}
+    folder = write_workbooks(placed, scratch_path(spark, "scan"), sheets)
+    blocks, _ = whole_files(scan_workbooks(list_folder(spark, folder)))
+    cells = [F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(14)]
+    return grid_of(blocks).select(_name("file").alias("file"), "row_idx", *cells)
+
+
+def sheet_by_name(spark, sf):
+    """Rows of the sheet "data", wherever it is; a workbook without it gives one row with its error."""
+    grid = _cells(fx.relation(spark, sf, fx.WEEKLY_WORKBOOKS), 14)
+    sheets = lambda name, rows: {"cover": [["cover"]], "other" if name[:2] == "g5" else "data": rows}
+    folder = write_workbooks(grid, scratch_path(spark, "sheets"), sheets)
+    blocks, bad = whole_files(scan_workbooks(list_folder(spark, folder), "data"))
     cells = [F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(14)]
-    return scanned.select("file", "row_idx", *cells)
+    rows = grid_of(blocks).select("file", "row_idx", *cells)
+    errors = bad.select("file", F.lit(-1).alias("row_idx"), F.col("error").alias("c0"))
+    both = rows.unionByName(errors, allowMissingColumns=True)
+    return both.withColumn("file", _name("file"))
 
 
 def header_rows(spark, sf):
@@ -121,6 +153,67 @@ def pending(spark, sf):
     return pending_files(listing, ledger, "in").orderBy("path")
 
 
+# ---- jobs -----------------------------------------------------------------------------------------
+
+
+def _entries(ledger, *more):
+    counts = ["status", "parsed", "written", "skipped", "errors", "message"]
+    return ledger.select(*more, _name("path").alias("file"), *counts)
+
+
+def _weekly_run(spark, sf):
+    store = RecordStore(spark, scratch_path(spark, "store"))
+    folder, names = _weekly_folder(spark, sf), translations(spark, sf)
+    return store, folder, names, weekly_ingest(spark, folder, store, names, "w1")
+
+
+def weekly_job(spark, sf):
+    return _entries(_weekly_run(spark, sf)[3])
+
+
+def weekly_job_records(spark, sf):
+    store = _weekly_run(spark, sf)[0]
+    return store.records().withColumn("src_file", _name("src_file"))
+
+
+def repeat_batch(spark, sf):
+    """The weekly job, the job again, and one of its files again by name: the ledger of all three."""
+    store, folder, names, _ = _weekly_run(spark, sf)
+    weekly_ingest(spark, folder, store, names, "w1")
+    weekly_ingest(spark, folder, store, names, "w2", single_file=f"{folder}/g0-0.xlsx")
+    return _entries(store.ledger(), "batch_id")
+
+
+def backfill_two_sources(spark, sf):
+    """Historical workbooks, then weekly ones into the same store: the ledger of both."""
+    store = RecordStore(spark, scratch_path(spark, "store"))
+    historical_ingest(spark, _historical_folder(spark, sf), store)
+    weekly_ingest(spark, _weekly_folder(spark, sf), store, translations(spark, sf), "w1")
+    return _entries(store.ledger(), "batch_id")
+
+
+def reports_of_store(spark, sf):
+    """Reports kept up over two appends, the importer report and the monthly counts as one relation."""
+    stored, incoming = stored_and_incoming(spark, sf)
+    store = RecordStore(spark, scratch_path(spark, "store"))
+    for batch_id, part in [("a", stored), ("b", incoming)]:
+        store.append(part.withColumn("row_idx", F.col("row_idx").cast("int")), batch_id)
+        marts.refresh_reports(store)
+    importers = store.report("importers").select(
+        F.lit("importers").alias("report"),
+        F.concat_ws("|", "importer_ko", "importer_en", marts.year_counts_text()).alias("entry"),
+        "total",
+        F.col("rank").cast("bigint").alias("place"),
+    )
+    monthly = store.report("monthly_by_type").select(
+        F.lit("monthly").alias("report"),
+        F.concat_ws("|", *[F.col(c).cast("string") for c in ("year", "month", "frozen", "dried", "ambiguous")]).alias("entry"),
+        "total",
+        F.lit(None).cast("bigint").alias("place"),
+    )
+    return importers.unionByName(monthly)
+
+
 # ---- scalar rules ---------------------------------------------------------------------------------
 
 
@@ -288,6 +381,10 @@ def type_country_pivot_year(spark, sf):
     return marts.type_country_pivot(marts.tally(declared(spark, sf)), year=1997)
 
 
+def type_country_pivot_year0(spark, sf):
+    return marts.type_country_pivot(marts.tally(declared(spark, sf)), year=0)
+
+
 def importer_years(spark, sf):
     return marts.importer_years(declared(spark, sf), SEQ)
 
@@ -310,6 +407,12 @@ def importer_ranking(spark, sf):
 
 QUERIES = {
     "workbook_scan": workbook_scan,
+    "sheet_by_name": sheet_by_name,
+    "weekly_job": weekly_job,
+    "weekly_job_records": weekly_job_records,
+    "repeat_batch": repeat_batch,
+    "backfill_two_sources": backfill_two_sources,
+    "reports_of_store": reports_of_store,
     "header_rows": header_rows,
     "fixed_header": fixed_header,
     "schema_check": schema_check,
@@ -346,6 +449,7 @@ QUERIES = {
     "yearly_by_country": yearly_by_country,
     "type_country_pivot": type_country_pivot,
     "type_country_pivot_year": type_country_pivot_year,
+    "type_country_pivot_year0": type_country_pivot_year0,
     "importer_years": importer_years,
     "importer_names": importer_names,
     "importer_totals": importer_totals,

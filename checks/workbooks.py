@@ -1,6 +1,7 @@
 """Writing small workbooks, to have something to scan."""
 
 import io
+import re
 import sys
 import zipfile
 from xml.sax.saxutils import escape
@@ -89,19 +90,26 @@ def _cell(row, col, value, strings):
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
 
 
-def encode_workbooks(grid):
-    """One workbook per ``path`` from rows of ``(path, row_idx, cells)``; keep each path's rows few."""
+def write_workbooks(grid, folder, sheets):
+    """Write one workbook per ``file`` of ``(file, row_idx, cells)`` into ``folder``; keep each file's rows few.
 
-    def encode(pdf):
-        rows = {int(at): list(cells) for at, cells in zip(pdf["row_idx"], pdf["cells"])}
-        content = workbook_bytes({"data": rows, "notes": [["not this one"]]}, shared=True)
-        return pdf.head(1)[["path"]].assign(content=[content])
+    ``sheets(file, rows)`` gives a workbook's sheets.
+    """
 
-    return (
-        grid.select("path", F.col("row_idx").cast("int").alias("row_idx"), "cells")
-        .groupBy("path")
-        .applyInPandas(encode, "path string, content binary")
-    )
+    def write(pdf):
+        import os
+
+        name = pdf["file"].iloc[0]
+        rows = {int(at): list(cells) for at, cells in zip(pdf["row_idx"], pdf["cells"])}
+        root = re.sub("^file:/*", "/", folder)
+        os.makedirs(root, exist_ok=True)
+        with open(f"{root}/{name}", "wb") as out:
+            out.write(workbook_bytes(sheets(name, rows), shared=True))
+        return pdf.head(1)[["file"]]
+
+    rows = grid.select("file", F.col("row_idx").cast("int").alias("row_idx"), "cells")
+    rows.groupBy("file").applyInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+    return folder
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

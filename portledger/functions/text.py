@@ -77,8 +77,8 @@ def date_parts(c):
 
 
 def decimal_value(c):
-    """Typed sibling of a numeric text column; null where the text is no number."""
-    return safe_str(c).try_cast("decimal(18,3)")
+    """Typed sibling of a numeric text column, to nine decimal places; null where the text is no number."""
+    return safe_str(c).try_cast("decimal(38,9)")
 
 
 def date_value(c):

@@ -89,6 +89,7 @@ class Translations:
 
     def __init__(self, table, max_bytes=None, max_rows=None):
         self.table = pinned(table)
+        self.limits = (max_bytes, max_rows)
         # One row per category, and there are four categories.
         sizes = self.table.groupBy("category").agg(*size_columns(self.table)).collect()
         self.fits = {r["category"]: is_small(r, max_bytes, max_rows) for r in sizes}
@@ -97,6 +98,19 @@ class Translations:
     def from_grid(cls, grid, **limits):
         return cls(lookup_table(lookup_sections(lookup_rows(grid))), **limits)
 
+    def all_fit(self, categories):
+        return all(self.fits.get(c, True) for c in categories)
+
+    def used_by(self, df, sources):
+        """The entries that ``df`` needs: one pass over all fields, ``sources`` being ``(category, field)`` pairs.
+
+        Every field's key is one row; equal ones collapse before the shuffle, so a hot key is one row per task, and they
+        meet the table once, on category and key.
+        """
+        pairs = F.array(*[F.struct(F.lit(c).alias("category"), strip(f).alias("key")) for c, f in sources])
+        needed = df.select(F.explode(pairs).alias("p")).select("p.category", "p.key").distinct()
+        return Translations(self.table.join(needed, ["category", "key"], "left_semi"), *self.limits)
+
     def category(self, name):
         return self.table.where(F.col("category") == name).select("key", "value")
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from portledger.functions.classify import COUNTRIES, TYPES, country_bucket, type_label
 from portledger.functions.text import lenient_int, safe_str
+from portledger.operators.joins import fits_broadcast
 from portledger.operators.ranking import with_global_rank
 from portledger.schema import LINEAGE
+from portledger.session import pinned
 
 # Fixed value: group of the records without an importer name; shown as the empty string.
 UNKNOWN_IMPORTER = "__unknown__"
@@ -87,7 +89,33 @@ def type_country_pivot(tallied, year=None):
     return scaffold.join(F.broadcast(named), "ptype", "left").na.fill(0, columns)
 
 
-def _importer_year_counts(records, order):
+# A record's place as one fixed-width number: publication, file and row. Its least value is a plain minimum.
+PLACE = "decimal(38,0)"
+
+
+def _places(seen, order):
+    """Add ``place``, which orders records as ``order`` does; the last column is a whole number.
+
+    Columns before it are ranked, apart from a leading ``seq``, which stays a number, so places of different publications
+    compare whatever they were ranked with. One row per file is ranked.
+    """
+    *prefix, last = order
+    if not prefix:
+        return seen.withColumn("place", F.col(last).cast(PLACE))
+    ranked = with_global_rank(seen.select(*prefix).distinct(), [F.asc(c) for c in prefix], "_rank")
+    joined = seen.join(F.broadcast(ranked) if fits_broadcast(ranked) else ranked, prefix)
+    wide = lambda c, bits: F.col(c).cast("decimal(18,0)") * F.lit(str(1 << bits)).cast("decimal(20,0)")
+    place = wide("_rank", 32) + F.col(last).cast("decimal(18,0)")
+    if prefix[0] == "seq":
+        place = place + wide("seq", 64)
+    return joined.withColumn("place", place.cast(PLACE)).drop("_rank")
+
+
+def importer_tally(records, order=LINEAGE):
+    """Record counts and first place per importer, English name and year; records without a usable year are left out.
+
+    Tallies of different records add up: ``merged_importers`` makes one of them.
+    """
     *prefix, last = order
     raw = records.select(
         safe_str("importer_ko").alias("ko"), safe_str("importer_en").alias("en"), "year", *order
@@ -97,40 +125,52 @@ def _importer_year_counts(records, order):
     )
     group = F.when(F.col("ko") == "", UNKNOWN_IMPORTER).otherwise(F.col("ko"))
     return (
-        seen.select(group.alias("ko"), "en", lenient_int("year").alias("year"), "n", *order)
-        .groupBy("ko", "year")
-        # The order is unique per record, so the least struct is the first record and its name.
-        .agg(_n_where(F.col("year") != 0, "n"), F.min(F.struct(*order, "en")).alias("first"))
+        _places(seen, order)
+        .select(group.alias("ko"), "en", lenient_int("year").alias("year"), "n", "place")
+        .groupBy("ko", "en", "year")
+        .agg(_n_where(F.col("year") != 0, "n"), F.min("place").alias("place"))
         .where("n > 0")
     )
 
 
+def merged_importers(tallied):
+    return tallied.groupBy("ko", "en", "year").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+
+
+def merged_tally(tallied):
+    return tallied.groupBy("year", "month", "ptype", "country").agg(F.sum("n").alias("n"))
+
+
 def _shown(ko):
     return F.when(ko == UNKNOWN_IMPORTER, "").otherwise(ko)
 
 
 def importer_years(records, order=LINEAGE):
     """Counts per importer and year, long form."""
-    counts = _importer_year_counts(records, order)
+    counts = importer_tally(records, order).groupBy("ko", "year").agg(F.sum("n").alias("n"))
     return counts.select(_shown(F.col("ko")).alias("importer_ko"), "year", "n")
 
 
 def importer_totals(records, translations=None, order=LINEAGE):
-    """Per importer: display name, counts per year, total and the place it was first seen.
+    """Per importer: display name, counts per year, total and the place it was first seen."""
+    return importer_totals_of(importer_tally(records, order), translations)
+
+
+def importer_totals_of(tallied, translations=None):
+    """As ``importer_totals``, from a tally.
 
     The display name is the lookup value, else the English name of the importer's first record with a
     usable year, else the Korean name.
     """
-    grouped = (
-        _importer_year_counts(records, order)
-        .groupBy("ko")
+    by_year = tallied.groupBy("ko", "year").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+    grouped = by_year.groupBy("ko").agg(
         # One entry per distinct year of the importer.
-        .agg(
-            F.sort_array(F.collect_list(F.struct("year", "n"))).alias("years"),
-            F.sum("n").alias("total"),
-            F.min("first").alias("first"),
-        )
+        F.sort_array(F.collect_list(F.struct("year", "n"))).alias("years"),
+        F.sum("n").alias("total"),
+        F.min("place").alias("place"),
     )
+    # Places are unique per record, so the first one belongs to one name.
+    grouped = grouped.join(tallied.select("ko", "place", "en"), ["ko", "place"])
     from_table = F.lit(None).cast("string")
     if translations is not None:
         # One row per importer on the left and per name on the right.
@@ -139,11 +179,11 @@ def importer_totals(records, translations=None, order=LINEAGE):
         from_table = F.col("value")
     not_blank = lambda c: F.nullif(c, F.lit(""))
     return grouped.select(
-        F.coalesce(not_blank(from_table), not_blank(F.col("first.en")), "ko").alias("importer_en"),
+        F.coalesce(not_blank(from_table), not_blank(F.col("en")), "ko").alias("importer_en"),
         _shown(F.col("ko")).alias("importer_ko"),
         F.map_from_entries("years").alias("year_counts"),
         "total",
-        F.struct(*[F.col(f"first.{c}") for c in order]).alias("first_seen"),
+        F.col("place").alias("first_seen"),
     )
 
 
@@ -164,15 +204,26 @@ def year_counts_text(year_counts="year_counts"):
 
 
 def refresh_reports(store, translations=None):
-    """Rebuild the four reports from the stored records.
+    """Bring the four reports up to the stored records.
 
-    The count reports share one tally, which is written first and read back.
+    Only publications that no tally covers are read; their tally is kept beside the earlier ones, and the
+    reports are made from all tallies. They are published together: a reader sees the old ones or the new ones.
     """
-    records = store.published()
-    tallied = store.write_report("tally", tally(records))
-    store.write_report("monthly_by_type", monthly_by_type(tallied))
-    store.write_report("yearly_by_country", yearly_by_country(tallied))
-    store.write_report("type_country_pivot", type_country_pivot(tallied))
     order = ["seq", *LINEAGE]
-    ranked = importer_ranking(importer_totals(records, translations, order))
-    store.write_report("importers", ranked)
+    records, upto = store.untallied()
+    if records is not None:
+        store.write_tallies(upto, tally(records), importer_tally(records, order))
+    counts, importers = store.tallies("counts"), store.tallies("importers")
+    if counts is None:
+        # Nothing is stored yet: the reports of no records.
+        records = store.published()
+        counts, importers = tally(records), importer_tally(records, order)
+    counts, importers = pinned(merged_tally(counts)), pinned(merged_importers(importers))
+    store.write_reports(
+        {
+            "monthly_by_type": monthly_by_type(counts),
+            "yearly_by_country": yearly_by_country(counts),
+            "type_country_pivot": type_country_pivot(counts),
+            "importers": importer_ranking(importer_totals_of(importers, translations)),
+        }
+    )

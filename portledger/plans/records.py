@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from portledger.functions import classify, text
 from portledger.operators.sheet import HISTORICAL, WEEKLY, cells_to_columns
 from portledger.schema import FLAG_COLUMNS, HISTORICAL_COLUMNS, LINEAGE, RECORD_COLUMNS, WEEKLY_COLUMNS
+from portledger.session import pinned
 
 # Source marks.
 WEEKLY_SOURCE = "mfds"
@@ -50,7 +51,14 @@ def weekly_fields(rows):
 
 
 def translated(fields, translations):
-    """Weekly records: the English names are looked up, unknown names keep their text."""
+    """Weekly records: the English names are looked up, unknown names keep their text.
+
+    Where a category is too large to copy, the rows are written down first, so whatever made them runs once, and the
+    lookup is reduced to the names they hold, for all fields together.
+    """
+    if not translations.all_fit(c for c, _ in TRANSLATED.values()):
+        fields = pinned(fields)
+        translations = translations.used_by(fields, sorted(set(TRANSLATED.values())))
     for target, (category, source) in TRANSLATED.items():
         fields = translations.translate(fields, category, source, target, spread_by=LINEAGE)
     return fields.select(*WEEKLY_COLUMNS, *LINEAGE)

@@ -69,7 +69,18 @@ HISTORICAL_COLUMNS = [
     "source",
 ]
 WEEKLY_ONLY_COLUMNS = ["report_no", "item_no", "weight_kg", "quantity", "country_origin_raw"]
-WEEKLY_COLUMNS = HISTORICAL_COLUMNS[:16] + WEEKLY_ONLY_COLUMNS + HISTORICAL_COLUMNS[16:]
+WEEKLY_COLUMNS = [
+    "year", "month", "day", "date",
+    "importer_en", "importer_ko",
+    "product_ko", "product_en",
+    "product_type_ko", "product_type_en",
+    "country_origin_en", "country_origin_ko",
+    "country_export_en", "country_export_ko",
+    "exporter_en", "expiry_date",
+    "report_no", "item_no", "weight_kg", "quantity", "country_origin_raw",
+    "type_frozen", "type_dried", "type_ambiguous",
+    "source",
+]
 
 # Stored order: the historical columns, then what only the weekly source has.
 RECORD_COLUMNS = HISTORICAL_COLUMNS + WEEKLY_ONLY_COLUMNS

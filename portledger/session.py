@@ -4,11 +4,20 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
+def _submitted():
+    """Settings that came with the submission of this driver."""
+    if "PYSPARK_GATEWAY_PORT" not in os.environ and SparkContext._jvm is None:
+        return set()
+    SparkContext._ensure_initialized()
+    return {key for key, _ in SparkConf().getAll()}
+
+
 def build_session(app="portledger", master=None, **conf):
-    """A session with the settings the jobs expect; a cluster's own settings win."""
+    """A session with the settings the jobs expect; settings of the submission win, those of ``conf`` win over both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -20,6 +29,8 @@ def build_session(app="portledger", master=None, **conf):
         # Checkpoint files go when nothing refers to them any more.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    known = _submitted()
+    defaults = {key: value for key, value in defaults.items() if key not in known}
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

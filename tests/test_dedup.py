@@ -62,17 +62,82 @@ def test_key_is_a_parameter(spark):
 
 def test_hot_keys_are_trimmed_before_the_shuffle(spark):
     df = spark.createDataFrame(batch(spark, 100), SCHEMA)
-    plan = dedup.dedup_first_wins(df)._jdf.queryExecution().sparkPlan().toString()
-    physical = dedup.dedup_first_wins(df)._jdf.queryExecution().executedPlan().toString()
+    firsts, _ = dedup.first_lineage(df)
+    plan = firsts._jdf.queryExecution().sparkPlan().toString()
+    physical = firsts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert physical.index("Final") < physical.index("Exchange") < physical.index("Partial")
 
 
-def test_stored_side_is_not_shuffled_when_the_batch_is_small(spark, tmp_path):
+def test_only_key_and_lineage_are_shuffled(spark, tmp_path):
+    spark.createDataFrame(batch(spark, 500), SCHEMA).write.parquet(str(tmp_path / "batch"))
+    df = spark.read.parquet(str(tmp_path / "batch"))
+    firsts, _ = dedup.first_lineage(df)
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert "note" not in plan and "ReadSchema: struct<src_file:string,row_idx:int,date:string,importer_ko:string,product_ko:string>" in plan
+    # The rows themselves are picked where they are read.
+    out = dedup.dedup_first_wins(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "note" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    scan = plan[: plan.index("BroadcastExchange")]
+    assert "hashpartitioning" not in scan
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_rows_at_picks_by_lineage(spark, monkeypatch, fits):
+    if not fits:
+        monkeypatch.setattr(dedup, "fits_broadcast", lambda df: False)
+    rows = [(f"f{i % 3}", i, "d", "i", "p", "n") for i in [*range(300), 4095, 4096, 70_000, 2**31 - 1]]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    kept = [r for r in rows if r[1] % 7 == 0 or r[1] > 4000]
+    got = dedup.rows_at(df, spark.createDataFrame(kept, SCHEMA).select("src_file", "row_idx"))
+    assert sorted(map(tuple, got.collect())) == sorted(kept) and got.columns == df.columns
+    assert dedup.rows_at(df, df.where("false")).isEmpty()
+
+
+def test_marks_are_one_row_for_64_positions(spark):
+    df = spark.createDataFrame([("f", i) for i in range(640)], "src_file string, row_idx int")
+    marks = dedup.lineage_marks(df).collect()
+    assert len(marks) == 10 and all(r["_bits"] == -1 for r in marks)
+
+
+def test_filter_lets_its_keys_through_and_few_others(spark):
+    inside = spark.range(40_000).selectExpr("cast(id as string) a", "'x' b")
+    outside = spark.range(100_000, 500_000).selectExpr("cast(id as string) a", "'x' b")
+    blocks = dedup.filter_blocks(40_000)
+    whole = dedup.key_filter(inside, ["a", "b"], blocks)
+    assert dedup.probable(inside, ["a", "b"], blocks, whole).count() == 40_000
+    assert dedup.probable(outside, ["a", "b"], blocks, whole).count() < 0.02 * 400_000
+    # Filters of parts merge into the filter of the whole.
+    parts = [dedup.key_filter(inside.where(f"a % 3 = {i}"), ["a", "b"], blocks) for i in range(3)]
+    assert sorted(map(tuple, dedup.merged_filters(*parts).collect())) == sorted(map(tuple, whole.collect()))
+    maybe, rest = dedup.split_by_filter(outside.union(inside), ["a", "b"], inside, 40_000)
+    assert maybe.count() + rest.count() == 440_000 and rest.join(inside, ["a", "b"]).isEmpty()
+
+
+def test_stored_side_is_filtered_beyond_the_broadcast(spark, tmp_path):
+    """Only stored keys that the filter may hold are shuffled; those that pass by chance do not count."""
+    schema = "src_file string, row_idx int, date string, importer_ko string, product_ko string"
+    row = lambda i, f: (f, i, f"d{i}", "i", "p")
+    df = spark.createDataFrame([row(i, "b") for i in range(3_000)], schema)
+    stored = spark.createDataFrame([row(i, "s") for i in range(2_000, 60_000)], schema)
+    got = dedup.fresh_lineage(df, stored, keys_fit=False)
+    assert {r["row_idx"] for r in got.collect()} == set(range(2_000))
+    firsts, names = dedup.first_lineage(df)
+    keys = firsts.select(*names)
+    stored_keys = stored.selectExpr("date _k0", "importer_ko _k1", "product_ko _k2")
+    blocks = dedup.filter_blocks(3_000)
+    passed = dedup.probable(stored_keys, names, blocks, dedup.key_filter(keys, names, blocks)).count()
+    assert 1_000 <= passed < 2_500
+
+
+def test_stored_side_is_not_shuffled_when_the_batch_is_small(spark, tmp_path, monkeypatch):
     spark.createDataFrame(batch(spark, 500), SCHEMA).write.parquet(str(tmp_path / "old"))
     old = spark.read.parquet(str(tmp_path / "old"))
-    new = dedup.new_records(spark.createDataFrame(batch(spark, 50), SCHEMA), old, keys_fit=True)
-    plan = new._jdf.queryExecution().executedPlan().toString()
+    plans = []
+    monkeypatch.setattr(dedup, "pinned", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    dedup.new_records(spark.createDataFrame(batch(spark, 50), SCHEMA), old, keys_fit=True)
+    plan = plans[-1]
     assert "LeftSemi" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
     # Only the three key columns of the stored table are read.
     assert "ReadSchema: struct<date:string,importer_ko:string,product_ko:string>" in plan

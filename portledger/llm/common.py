@@ -69,7 +69,7 @@ def as_text(df, column="text"):
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
-def connected_components(edges, rounds=60):
+def connected_components(edges, rounds=60, stored=stored):
     """``(node, component)`` of the undirected graph ``edges(a, b)``: the smallest node reachable.
 
     Alternating large-star and small-star steps on DataFrames: every step shuffles the links by

@@ -27,7 +27,9 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from portledger.llm.common import connected_components, small_side, stored
+from portledger.llm.common import Scratch, connected_components, partitions, small_side
+from portledger.operators.dedup import filter_blocks, key_filter, probable, split_by_filter
+from portledger.session import pinned
 
 WORDS = 5
 PERCENT = 75
@@ -38,7 +40,6 @@ KNOWN_WORDS = 1 << 20
 # Each frequency class of the order is cut into so many fragments; classes beyond the last are one.
 CUTS, CLASSES = 4, 4
 
-SETS = "doc_id long, node long, n long"
 MEMBERS = "node long, n long, grams array<long>"
 ROWS = "gram long, node long, hits int"
 
@@ -80,20 +81,6 @@ def node_of(grams):
     return int(_mixed(_mixed(both[:1]) * _MULTIPLY + both[1:]).view(np.int64)[0])
 
 
-def _sets(words):
-    def sets(batches):
-        known = _Words()
-        for batch in batches:
-            nodes, sizes = [], []
-            for text in batch.column(1).to_pylist():
-                grams = gram_set(text, known, words)
-                nodes.append(node_of(grams) if len(grams) else None)
-                sizes.append(len(grams))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "node", "n"])
-
-    return sets
-
-
 def lone(n, percent=PERCENT):
     """How many n-grams a set of ``n`` may have that a partner lacks."""
     return n - -(-percent * n // 100)
@@ -101,7 +88,11 @@ def lone(n, percent=PERCENT):
 
 def _first_cut(words, percent, bits):
     """Rows ``(gram, node, hits)`` of blocks of sets. ``hits`` 0: one n-gram to look for elsewhere, -1: the same, but
-    the block has counted it for its own sets; above 0: so many n-grams of the set are shared within the block."""
+    the block has counted it for its own sets; above 0: so many n-grams of the set are shared within the block.
+
+    Below -1 a row is a document, its id in ``gram``, its set's size ``n`` in ``hits`` as -2n - 2, or -2n - 3 for a null id. So texts
+    are split and hashed once for the sets and the cut.
+    """
     shift = np.uint64(64 - bits)
 
     def settle(grams, nodes):
@@ -126,12 +117,14 @@ def _first_cut(words, percent, bits):
     def cut(batches):
         known, grams, nodes, seen, size = _Words(), [], [], set(), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            ids, kinds, owners = [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = gram_set(text, known, words)
-                if not len(found):
-                    continue
-                node = node_of(found)
-                if node in seen:
+                node = node_of(found) if len(found) else 0
+                ids.append(doc_id or 0)
+                kinds.append(-2 * len(found) - 2 - (doc_id is None))
+                owners.append(node)
+                if not len(found) or node in seen:
                     continue
                 seen.add(node)
                 first = found[: lone(len(found), percent) + max(1, len(found) // 8)]
@@ -141,6 +134,9 @@ def _first_cut(words, percent, bits):
                 if size >= BLOCK_BYTES:
                     yield from settle(grams, nodes)
                     grams, nodes, seen, size = [], [], set(), 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), pa.array(kinds, pa.int32())], names=["gram", "node", "hits"]
+            )
         if nodes:
             yield from settle(grams, nodes)
 
@@ -168,8 +164,16 @@ def _starts(key):
 
 
 def _credits(batches):
-    """Hits of nodes in sorted rows: n-grams that rows of different nodes hold, and what blocks have counted."""
-    for gram, node, hits in _runs(batches, 3):
+    """Hits of nodes in sorted rows: n-grams that rows of different nodes hold, and what blocks have counted.
+
+    Rows ``(doc_id, node, hits)``; those of documents go through as they are.
+    """
+
+    def out(doc_id, node, hits):
+        arrays = [pa.array(doc_id, pa.int64()), pa.array(node, pa.int64()), pa.array(hits.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "hits"])
+
+    def of_runs(gram, node, hits):
         counted = hits > 0
         out_node, out_hits = [node[counted]], [hits[counted].astype(np.int64)]
         gram, node, hits = gram[~counted], node[~counted], hits[~counted]
@@ -181,9 +185,25 @@ def _credits(batches):
             own, times = np.unique(node[take], return_counts=True)
             out_node.append(own)
             out_hits.append(times)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(out_node), pa.int64()), pa.array(np.concatenate(out_hits), pa.int64())], names=["node", "hits"]
-        )
+        node, hits = np.concatenate(out_node), np.concatenate(out_hits)
+        return out(np.zeros(len(node), np.int64), node, hits)
+
+    held = None
+    for batch in batches:
+        now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        document = now[2] < -1
+        if document.any():
+            yield out(*(c[document] for c in now))
+            now = [c[~document] for c in now]
+        if not len(now[0]):
+            continue
+        held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
+        cut = int(np.searchsorted(held[0], held[0][-1]))
+        if cut:
+            yield of_runs(*(c[:cut] for c in held))
+            held = [c[cut:] for c in held]
+    if held is not None:
+        yield of_runs(*held)
 
 
 def _members(words):
@@ -318,40 +338,57 @@ def linked(pairs, parts, percent=PERCENT):
     return summed.where(100 * F.col("overlap") >= percent * union).select("a", "b", "overlap")
 
 
-def similar_sets(docs, nodes, words=WORDS, percent=PERCENT):
-    """Links ``(a, b)`` between set nodes that connect exactly what the threshold connects, or None if there are none."""
-    texts = docs.select(docs["text"].cast("string").alias("text")).where("text is not null")
-    total = max(1, nodes.count())
-    bits = min(63, max(40, (total * 512).bit_length() + 12))
-    rows = texts.mapInArrow(_first_cut(words, percent, bits), ROWS)
-    credits = rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(_credits, "node long, hits long")
-    hits = credits.groupBy("node").agg(F.sum("hits").alias("hits"))
+def sets_and_credits(docs, scratch, words=WORDS, percent=PERCENT):
+    """``nodes(doc_id, node, n)`` of every document, and the ``hits(node, hits)`` of the first cut, from one pass over the texts."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    bits = min(63, max(40, (max(1, rows.count()) * 512).bit_length() + 12))
+    first = rows.mapInArrow(_first_cut(words, percent, bits), ROWS)
+    first = first.repartition("gram").sortWithinPartitions("gram").mapInArrow(_credits, "doc_id long, node long, hits long")
+    first = scratch.stored(first, "credits")
+    size = F.expr("(-hits - 2) div 2")
+    nodes = first.where("hits < -1").select(
+        F.when(F.col("hits") % 2 == 0, F.col("doc_id")).alias("doc_id"),
+        F.when(size > 0, F.col("node")).alias("node"),
+        size.cast("long").alias("n"),
+    )
+    return nodes, first.where("hits >= -1").groupBy("node").agg(F.sum("hits").alias("hits"))
+
+
+def similar_sets(docs, nodes, hits, scratch, words=WORDS, percent=PERCENT):
+    """Links ``(a, b)`` between set nodes that connect exactly what the threshold connects."""
+    stored = scratch.stored
     sizes = nodes.where("n > 0").select("node", "n").distinct()
     # The smallest partner's share of first n-grams must occur elsewhere.
     needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / 8))
     alive = stored(hits.join(sizes, "node").where(F.col("hits") >= needed).select("node"), "alive")
+    # Only texts of sets that are still alive are split again. A document is one of them by its id, or by a null id.
+    ids = nodes.join(alive, "node", "left_semi").select(F.coalesce("doc_id", F.lit(0)).alias("_id")).distinct()
+    ids = stored(ids, "ids")
+    n_ids = ids.count()
+    texts = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("_id"), docs["text"].cast("string").alias("text"))
+    blocks = filter_blocks(n_ids)
+    texts = probable(texts.where("text is not null"), ["_id"], blocks, key_filter(ids, ["_id"], blocks)).select("text")
     members = texts.mapInArrow(_members(words), MEMBERS).join(small_side(alive, 200_000), "node", "left_semi")
     members = stored(members.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "members")
     parts = stored(segments(members, percent), "segments")
-    lists = prefixes(parts, percent).repartition("gram")
+    # A number of its own keeps the lists apart: joined partitions would be few and long tasks.
+    number = partitions(docs.sparkSession)
+    lists = prefixes(parts, percent).repartition(number, "gram")
     near = lists.sortWithinPartitions("gram", "n", "node").mapInArrow(_pairs(percent, False), "a long, b long").distinct()
     near = stored(near, "pairs")
     links = stored(linked(near, parts, percent), "linked")
-    groups = stored(connected_components(links.select("a", "b")), "groups")
+    groups = stored(connected_components(links.select("a", "b"), stored=stored), "groups")
     named = prefixes(parts, percent).join(groups.withColumnRenamed("component", "label"), "node", "left")
-    named = named.select("gram", "n", "node", "rest", "lone", F.coalesce("label", "node").alias("label")).repartition("gram")
+    named = named.select("gram", "n", "node", "rest", "lone", F.coalesce("label", "node").alias("label")).repartition(number, "gram")
     rest = named.sortWithinPartitions("gram", "n", "node").mapInArrow(_pairs(percent, True), "a long, b long").distinct()
     rest = stored(rest.join(near, ["a", "b"], "left_anti"), "pairs")
     return stored(links.unionByName(linked(rest, parts, percent)), "linked")
 
 
-def components(docs, words=WORDS, percent=PERCENT):
-    """``(doc_id, n_shingles, component_id)`` of every document, and its set ``node``."""
-    doc_id = docs["doc_id"].cast("long").alias("doc_id")
-    text = docs["text"].cast("string").alias("text")
-    nodes = stored(docs.select(doc_id, text).mapInArrow(_sets(words), SETS), "nodes")
-    links = similar_sets(docs, nodes, words, percent)
-    groups = connected_components(links.select("a", "b"))
+def _components(docs, scratch, words=WORDS, percent=PERCENT):
+    nodes, hits = sets_and_credits(docs, scratch, words, percent)
+    links = similar_sets(docs, nodes, hits, scratch, words, percent)
+    groups = connected_components(links.select("a", "b"), stored=scratch.stored)
     # Nodes and links are hashes; a component takes its name from its documents.
     named = nodes.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     least = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -363,14 +400,35 @@ def components(docs, words=WORDS, percent=PERCENT):
     )
 
 
-def one_of_each(docs, words=WORDS, percent=PERCENT):
-    """The document with the smallest id of every component. Rows with a null id stay; rows of one id go or stay together."""
+def components(docs, words=WORDS, percent=PERCENT):
+    """``(doc_id, n_shingles, component_id)`` of every document, and its set ``node``; a checkpoint, working tables are dropped."""
+    with Scratch(docs.sparkSession, "ngram-join") as scratch:
+        return pinned(_components(docs, scratch, words, percent))
+
+
+def dropped_ids(docs, words=WORDS, percent=PERCENT):
+    """``doc_id`` of the documents that are not the smallest id of their component."""
     found = components(docs, words, percent)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    drop = stored(drop.join(keep, "doc_id", "left_anti"), "dropped")
-    drop = drop.where("doc_id is not null").withColumnRenamed("doc_id", "_dropped_id")
-    return docs.join(small_side(drop, 200_000), docs["doc_id"] == F.col("_dropped_id"), "left_anti")
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    keep = found.where(own).select("doc_id").distinct()
+    drop = found.where(~own & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return pinned(drop.join(keep, "doc_id", "left_anti"))
+
+
+def one_of_each(docs, words=WORDS, percent=PERCENT):
+    """The document with the smallest id of every component. Rows with a null id stay; rows of one id go or stay together.
+
+    Only documents whose id may be a dropped one meet the dropped ids; the others stay where they are read.
+    """
+    drop = dropped_ids(docs, words, percent).withColumnRenamed("doc_id", "_id")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), docs["doc_id"].cast("long").alias("_id"))
+    n_drop = drop.count()
+    if n_drop <= 200_000:
+        kept = rows.join(F.broadcast(drop), "_id", "left_anti")
+    else:
+        maybe, rest = split_by_filter(rows, ["_id"], drop, n_drop)
+        kept = rest.unionByName(maybe.join(drop, "_id", "left_anti").select("_row", "_id"))
+    return kept.select("_row.*")
 
 
 def op1_ngram_jaccard_join(spark, sf_dir):

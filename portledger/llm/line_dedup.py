@@ -29,7 +29,9 @@ import xxhash
 
 from pyspark.sql import functions as F
 
-from portledger.llm.common import as_text, small_side, stored
+from portledger.llm.common import Scratch, as_text
+from portledger.operators.dedup import filter_blocks, key_filter, probable, split_by_filter
+from portledger.session import pinned
 
 EDITS = 2
 LEAST = 40
@@ -233,13 +235,13 @@ def _long_lines(docs, least):
     return rows.select("doc", "n", F.xxhash64("body").alias("line"), "body")
 
 
-def _verified(docs, pairs, k, least):
-    """The ``(a, b)`` of ``pairs`` whose texts are within ``k`` edits."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
-    found = _long_lines(docs, least).select("line", "body").join(small_side(wanted), "line", "left_semi")
+def _verified(docs, pairs, k, least, scratch):
+    """The ``(a, b)`` of ``pairs`` whose texts are within ``k`` edits. Only lines that may be in a pair are shuffled."""
+    wanted = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
+    blocks = filter_blocks(wanted.count())
+    found = probable(_long_lines(docs, least).select("line", "body"), ["line"], blocks, key_filter(wanted, ["line"], blocks))
     # One text per line: equal hashes stand for equal texts.
-    bodies = found.groupBy("line").agg(F.min("body").alias("body"))
-    bodies = stored(bodies, "bodies")
+    bodies = scratch.stored(found.groupBy("line").agg(F.min("body").alias("body")), "bodies")
     side = lambda name: bodies.select(F.col("line").alias(name), F.col("body").alias(f"{name}_body"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verifier(k), "a long, b long")
 
@@ -252,14 +254,15 @@ def _later(near, firsts):
     return joined.groupBy(later.alias("line")).agg(F.min(F.least("a_first", "b_first")).alias("earlier"))
 
 
-def near_repeats(docs, firsts, k=EDITS, least=LEAST):
+def near_repeats(docs, firsts, scratch, k=EDITS, least=LEAST):
     """``(line, earlier)``: hashes of the lines that have an earlier near line, and the first place of one."""
     postings = _long_lines(docs, least).mapInArrow(_poster(k, least), POSTINGS)
     listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "letters")
+    stored = scratch.stored
     candidates = stored(listed.mapInArrow(_lister(LONG_LIST, k), CANDIDATES), "candidates")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first_turn = stored(ordered(candidates.where("not rest")), "pairs")
-    later = stored(_later(_verified(docs, first_turn, k, least), firsts), "repeats")
+    later = stored(_later(_verified(docs, first_turn, k, least, scratch), firsts), "repeats")
     # Second turn: members of long lists that are not known to repeat yet meet all the list's other lines.
     rest = candidates.where("rest")
     if rest.limit(1).count():
@@ -275,7 +278,7 @@ def near_repeats(docs, firsts, k=EDITS, least=LEAST):
         more = more.join(first_turn, ["a", "b"], "left_anti")
         more = stored(more, "pairs")
         if more.limit(1).count():
-            both = later.unionByName(_later(_verified(docs, more, k, least), firsts))
+            both = later.unionByName(_later(_verified(docs, more, k, least, scratch), firsts))
             later = stored(both.groupBy("line").agg(F.min("earlier").alias("earlier")), "repeats")
     return later
 
@@ -285,11 +288,16 @@ def repeated_lines(docs, k=EDITS, least=LEAST):
 
     Lines under ``least`` code points are left alone.
     """
+    with Scratch(docs.sparkSession, "line-dedup") as scratch:
+        return pinned(_repeated_lines(docs, scratch, k, least))
+
+
+def _repeated_lines(docs, scratch, k, least):
     rows = line_rows(docs).where(F.col("chars") >= least)
     place = F.struct("doc", "tie", "n")
     firsts = rows.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    firsts = stored(firsts, "lines")
-    near = near_repeats(docs, firsts, k, max(least, SHORT))
+    firsts = scratch.stored(firsts, "lines")
+    near = near_repeats(docs, firsts, scratch, k, max(least, SHORT))
     several = firsts.where("copies > 1").select("line", "first")
     marks = several.join(near, "line", "full")
     joined = rows.join(marks, "line").where(F.col("earlier").isNotNull() | (place > F.col("first")))
@@ -301,7 +309,12 @@ def marked(docs, k=EDITS):
 
     ``repeats`` are line numbers from 0; ``copied_chars`` is the most that repeats one other document.
     """
-    repeats = repeated_lines(docs, k, least=1)
+    with Scratch(docs.sparkSession, "line-dedup") as scratch:
+        return pinned(_marked(docs, scratch, k))
+
+
+def _marked(docs, scratch, k):
+    repeats = _repeated_lines(docs, scratch, k, 1)
     other = (F.col("of.doc") != F.col("doc")) | (F.col("of.tie") != F.col("tie"))
     each = repeats.groupBy("doc", "tie", F.col("of.doc").alias("of_doc"), F.col("of.tie").alias("of_tie")).agg(
         F.collect_list("n").alias("lines"), F.sum("chars").alias("all"), F.sum(F.when(other, F.col("chars"))).alias("copied")
@@ -318,7 +331,7 @@ def deduplicated(docs, k=EDITS, whole_copies=True):
 
     ``whole_copies=False`` strips these too, for documents whose near copies are gone.
     """
-    marks = stored(marked(docs, k), "marks")
+    marks = marked(docs, k)
     text = as_text(docs)
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"),
@@ -326,7 +339,9 @@ def deduplicated(docs, k=EDITS, whole_copies=True):
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(text).alias("tie"),
     )
-    joined = rows.join(small_side(marks, 5_000), ["doc", "tie"], "left")
+    # Only documents that may have marks meet them; the others stay where they are read.
+    maybe, rest = split_by_filter(rows, ["doc", "tie"], marks, marks.count())
+    joined = maybe.join(marks, ["doc", "tie"], "left")
     strip = F.col("repeats").isNotNull()
     if whole_copies:
         strip = strip & (2 * F.col("copied_chars") < F.length("_text"))
@@ -337,7 +352,8 @@ def deduplicated(docs, k=EDITS, whole_copies=True):
     if "n_chars" in docs.columns:
         size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
         changed["n_chars"] = F.when(F.col("_strip"), size).otherwise(F.col("_row.n_chars"))
-    return joined.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    joined = joined.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    return joined.unionByName(rest.select("_row.*"))
 
 
 def op9_line_dedup(spark, sf_dir):

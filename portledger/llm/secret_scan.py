@@ -1,15 +1,16 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of 16 and more token characters (longer runs go in pieces of 256) and quoted
-values. The forest sees a candidate's length, its character transitions (changes of character class,
-and how usual its letter pairs are in the corpus), how much of it dictionary words cover, the path it
-is in and the words around it. It is trained from labelled findings, of which at most ``SAMPLE`` are
+Candidates are private key headers, runs of 16 and more token characters, whole whatever their length, quoted values, values behind
+the name of a secret, passwords in addresses and short keys of a known form. The forest sees a candidate's length, its character
+transitions (changes of character class, and how usual its letter pairs are in the corpus), how much of it dictionary words
+cover, the path it is in and the words around it. It is trained from labelled findings, of which at most ``SAMPLE`` are
 used; ``labelled_findings`` makes them from the corpus where no reviewed ones are at hand: a known
-key format or a named, quoted, mixed value is a secret, plain letters or plain digits in running text are not.
+key format or a named, mixed value is a secret, plain letters or plain digits in running text are not.
 
 Dictionary and letter pairs come from all documents: the words that most documents hold, ``DICTIONARY`` of
 them. Everything is DataFrame operations; documents without a candidate are read and left, only
-candidates move. Distinct candidate texts are measured once, so copies of one secret cost one.
+candidates move, each with the few characters around it. Distinct candidate texts are measured once, so copies of one secret
+cost one, in chunks, so a text without a blank is many small rows.
 
 Result: ``doc_id, start, length, score, is_secret``; ``start`` counts code points from 0. Null or empty text has
 no candidates. Rows with a repeated or null ``doc_id`` are scanned each. A null ``source`` is an empty path.
@@ -19,19 +20,29 @@ Without labelled findings of both kinds every candidate scores 1: nothing is kno
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portledger.llm.common import as_text, stored
 
 # Patterns of candidates and known key formats.
-CANDIDATE = r"[A-Za-z0-9+/=_\-]{16,256}+|(?<=[\"'])[^\"'\s]{8,256}+(?=[\"'])"
-KNOWN_FORMAT = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]+$|^sk_live_[A-Za-z0-9]+$|^AIza[A-Za-z0-9_-]{35}$"
+KEY_HEADER = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
+TOKEN_RUN = r"[A-Za-z0-9+/=_\-]{16,}+"
+QUOTED_VALUE = r"(?<=[\"'])[^\"'\s]{8,}+(?=[\"'])"
+NAMED_VALUE = r"(?<=(?i:word|pwd|pass|ecret|oken|_key|-key|apikey)(?:=|: |:|=\"|='))[^\s\"',;]{6,}+"
+ADDRESS_PASSWORD = r"(?<=[^\s/:@]:)[^\s/:@\"']{3,}+(?=@[A-Za-z0-9])"
+SHORT_KEY = r"(?<![A-Za-z0-9])sk-[A-Za-z0-9]{8,}+"
+CANDIDATE = "|".join([KEY_HEADER, NAMED_VALUE, TOKEN_RUN, QUOTED_VALUE, ADDRESS_PASSWORD, SHORT_KEY])
+KNOWN_FORMAT = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]+$|^sk_live_[A-Za-z0-9]+$|^sk-[A-Za-z0-9]{8,}$|^AIza[A-Za-z0-9_-]{35}$|^-----BEGIN [A-Z ]*PRIVATE KEY-----$"
 NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|credential|auth)"
 EXAMPLES = r"(?i)(example|dummy|sample|placeholder|your|test|fixture|mock)"
 ASSIGNED = r"[:=]\s*[\"']?$"
+ADDRESS = r"://[^\s/@]*:$"
 QUOTED = r"[\"']$"
 
 SAMPLE = 4_000
+# Candidates are measured in chunks of so many code points, each with the start of the next.
+CHUNK, LONGEST_WORD = 256, 12
 DICTIONARY = 20_000
 BEFORE, AFTER = 40, 24
 MASK = "<SECRET>"
@@ -47,6 +58,7 @@ FEATURES = [
     "named",
     "assigned",
     "quoted",
+    "address",
     "example_near",
     "plain_before",
     "plain_after",
@@ -62,29 +74,29 @@ def candidates(docs):
     """
     path = F.coalesce(docs["source"].cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
     df = docs.select("doc_id", as_text(docs).alias("_t"), path.alias("path")).where(F.col("_t").rlike(CANDIDATE))
+    row = F.monotonically_increasing_id().alias("_row")
     df = df.select(
         "doc_id",
         F.xxhash64("_t").alias("tie"),
         "path",
+        row,
         F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(0)).alias("_c"),
         F.split("_t", CANDIDATE).alias("_p"),
     )
-    # The end of every piece between candidates, counted from the text's start.
-    df = df.withColumn("_n", F.transform("_c", lambda c, i: F.length(F.get("_p", i))))
-    df = df.select("doc_id", "tie", "path", "_p", "_n", "_c", F.posexplode("_c").alias("nth", "candidate"))
-    gone = F.slice("_n", 1, F.col("nth") + 1), F.slice("_c", 1, F.col("nth"))
-    add = lambda total, x: total + x
-    start = F.aggregate(gone[0], F.lit(0), add) + F.aggregate(gone[1], F.lit(0), lambda total, c: total + F.length(c))
-    before, after = F.get("_p", F.col("nth")), F.get("_p", F.col("nth") + 1)
+    # Each candidate leaves with what it needs of the pieces around it; the text's arrays stay behind.
+    one = lambda c, i: F.struct(
+        c.alias("candidate"),
+        F.length(F.get("_p", i)).alias("gap"),
+        F.right(F.get("_p", i), F.lit(BEFORE)).alias("before"),
+        F.left(F.get("_p", i + 1), F.lit(AFTER)).alias("after"),
+    )
+    df = df.select("doc_id", "tie", "path", "_row", F.posexplode(F.transform("_c", one)).alias("nth", "_o"))
+    df = df.select("doc_id", "tie", "path", "_row", "nth", "_o.*")
+    # What lies before a candidate: the gaps up to it and the candidates before it. Rows of one text at a time.
+    upto = Window.partitionBy("_row").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap").cast("long") + F.length("candidate")).over(upto)
     return df.select(
-        "doc_id",
-        "tie",
-        "nth",
-        start.cast("long").alias("start"),
-        "candidate",
-        F.right(before, F.lit(BEFORE)).alias("before"),
-        F.left(after, F.lit(AFTER)).alias("after"),
-        "path",
+        "doc_id", "tie", "nth", (end - F.length("candidate")).alias("start"), "candidate", "before", "after", "path"
     )
 
 
@@ -110,24 +122,30 @@ UNKNOWN_PAIR = -14.0
 
 
 def text_measures(found, words):
-    """Measures of every distinct candidate text."""
-    texts = found.select("candidate").distinct().withColumn("_l", F.lower("candidate"))
-    place = F.explode(F.sequence(F.lit(1), F.length("_l")))
-    at = texts.select("candidate", "_l", place.alias("i"))
-    pairs = at.where(F.col("i") < F.length("_l")).select("candidate", F.substring("_l", F.col("i"), F.lit(2)).alias("pair"))
+    """Measures of every distinct candidate text, which its hash stands for."""
+    texts = found.select("candidate").distinct().withColumn("id", F.xxhash64("candidate"))
+    chunks = F.regexp_extract_all(F.lower("candidate"), F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    body = lambda c, j: F.concat(c, F.left(F.coalesce(F.get("_x", j + 1), F.lit("")), F.lit(LONGEST_WORD - 1)))
+    # A chunk of its own length, with what a word that starts in it may reach.
+    own = F.transform("_x", lambda c, j: F.struct((j * CHUNK).alias("at"), F.length(c).alias("size"), body(c, j).alias("body")))
+    rows = texts.select("id", chunks.alias("_x")).select("id", F.inline(own))
+    place = F.explode(F.sequence(F.lit(1), F.col("size")))
+    at = rows.select("id", "at", "body", place.alias("i"))
+    pairs = at.where(F.col("i") < F.length("body")).select("id", F.substring("body", F.col("i"), F.lit(2)).alias("pair"))
     usual = (
         pairs.join(F.broadcast(letter_pairs(words)), "pair", "left")
-        .groupBy("candidate")
+        .groupBy("id")
         .agg(F.avg(F.coalesce("pair_log", F.lit(UNKNOWN_PAIR))).alias("pair_log"))
     )
-    size = F.explode(F.sequence(F.lit(3), F.lit(12))).alias("k")
-    parts = at.select("candidate", "_l", "i", size).where(F.col("i") + F.col("k") - 1 <= F.length("_l"))
-    parts = parts.select("candidate", "i", "k", F.substring("_l", F.col("i"), F.col("k")).alias("word"))
-    # At most 256 x 10 parts of one text meet in an array.
-    hits = parts.join(F.broadcast(words.select("word")), "word", "left_semi").groupBy("candidate")
-    spans = F.flatten(F.collect_list(F.sequence(F.col("i"), F.col("i") + F.col("k") - 1)))
-    covered = hits.agg(F.size(F.array_distinct(spans)).alias("covered"))
-    joined = texts.join(usual, "candidate", "left").join(covered, "candidate", "left")
+    size = F.explode(F.sequence(F.lit(3), F.lit(LONGEST_WORD))).alias("k")
+    parts = at.select("id", "at", "body", "i", size).where(F.col("i") + F.col("k") - 1 <= F.length("body"))
+    parts = parts.select("id", (F.col("at") + F.col("i")).alias("from"), "k", F.substring("body", F.col("i"), F.col("k")).alias("word"))
+    hits = parts.join(F.broadcast(words.select("word")), "word", "left_semi")
+    # The longest word from each place, then the places that words cover, each once.
+    hits = hits.groupBy("id", "from").agg(F.max("k").alias("k"))
+    covered = hits.select("id", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("k") - 1)).alias("place")).distinct()
+    covered = covered.groupBy("id").agg(F.count("*").alias("covered"))
+    joined = texts.join(usual, "id", "left").join(covered, "id", "left")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("candidate", "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
     share = lambda chars: F.length(F.regexp_replace("candidate", f"[^{chars}]+", "")) / F.length("candidate")
     return joined.select(
@@ -151,6 +169,7 @@ def measured(found, words):
             "named": flag(F.col("before").rlike(NAMES)),
             "assigned": flag(F.col("before").rlike(ASSIGNED)),
             "quoted": flag(F.col("before").rlike(QUOTED)),
+            "address": flag(F.col("before").rlike(ADDRESS) & F.col("after").startswith("@")),
             "example_near": flag(near.rlike(EXAMPLES)),
             "plain_before": flag(F.col("before").rlike(r"[\p{L}.,]\s$")),
             "plain_after": flag(F.col("after").rlike(r"^[.,]?\s+\p{L}")),
@@ -166,7 +185,7 @@ def labelled_findings(features):
     """Findings with a ``label`` where the candidate's own form decides it."""
     text = F.col("candidate")
     named = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0) & (F.col("class_changes") > 0.2)
-    secret = text.rlike(KNOWN_FORMAT) | (named & (F.col("example_near") == 0))
+    secret = text.rlike(KNOWN_FORMAT) | ((named | (F.col("address") == 1)) & (F.col("example_near") == 0))
     plain = text.rlike(r"^[A-Za-z]?[a-z]+$|^[A-Z]+$|^[0-9]+$") & (F.col("named") == 0)
     return features.withColumn("label", F.when(secret, 1.0).when(plain, 0.0)).where("label is not null")
 

@@ -1,6 +1,7 @@
 """Quality rules with thresholds learnt from the data, in DataFrame operations only.
 
-Fixed cutoffs are replaced by fences around the middle half of each (language, source). The
+Fixed cutoffs are replaced by fences above the middle half of each (language, source): the upper quartile and some times the
+distance of the quartiles. Every measure is one that ordinary documents have some of, so its quartiles differ. The
 quantiles come from mergeable sketches: every measure is put into log-linear integer buckets (exact
 below 128, then 64 buckets for each power of two, so a value is known to 1/64), and a sketch is the
 table of bucket counts. Sketches merge by adding counts: partial counts of tasks into a source,
@@ -27,15 +28,16 @@ WINDOW = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 
-# A measure is rejected above median + max(SPREADS x interquartile range, slack). Slack is in the
-# measure's unit: ten-thousandths of the word characters or lines, hundredths of a character.
+# A measure is rejected above its group's upper quartile + SPREADS x interquartile range. Where nearly all documents of a group
+# agree, the range is taken as this least one, a rounding error of the measure: ten-thousandths of the word
+# characters or words, hundredths of a character.
 SPREADS = 4
-SLACK = {"marks": 600, "doubled_lines": 5000, "capitals": 4000, "stutters": 2500, "word_length": 600}
+ROUNDING = {"marks": 25, "capitals": 25, "stutters": 25, "word_length": 8}
 # A sketch of fewer documents is replaced by the one above it.
 LEAST_DOCUMENTS = 200
 
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-RESULT += [f"m_{m}" for m in SLACK]
+RESULT += [f"m_{m}" for m in ROUNDING]
 
 
 def bucketed(name):
@@ -59,9 +61,8 @@ def with_measures(docs):
             "word_chars": F.length(together).cast("bigint"),
             "n_words": F.when(F.col("_w") == "", 0).otherwise(F.length("_w") - F.length(together) + 1).cast("bigint"),
             "n_symbols": F.length(F.regexp_replace("_t", NOT_SYMBOLS, "")).cast("bigint"),
-            "n_lines": F.size("_l").cast("bigint"),
             "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint"),
-            "n_marks": F.length(F.regexp_replace("_w", r"[\p{L}\p{N} .,]+", "")).cast("bigint"),
+            "n_marks": F.length(F.regexp_replace("_w", r"[\p{L}\p{N} ]+", "")).cast("bigint"),
             "n_capitals": F.length(F.regexp_replace("_w", r"[^\p{Lu}]+", "")).cast("bigint"),
             "n_stutters": F.regexp_count("_w", F.lit(r"(?<![^ ])([^ ]++) (?=\1(?: |$))")).cast("bigint"),
         }
@@ -70,7 +71,6 @@ def with_measures(docs):
     return df.withColumns(
         {
             "m_marks": per("n_marks", "word_chars", 10000),
-            "m_doubled_lines": per("n_dup_lines", "n_lines", 10000),
             "m_capitals": per("n_capitals", "word_chars", 10000),
             "m_stutters": per("n_stutters", "n_words", 10000),
             "m_word_length": per("word_chars", "n_words", 100),
@@ -83,7 +83,7 @@ def with_measures(docs):
 def sketches(docs):
     """Bucket counts ``(_lang, _source, measure, bucket, n)``: one mergeable sketch per group and measure."""
     pairs = [
-        F.struct(F.lit(m).alias("measure"), bucketed(f"m_{m}").alias("bucket")) for m in SLACK
+        F.struct(F.lit(m).alias("measure"), bucketed(f"m_{m}").alias("bucket")) for m in ROUNDING
     ]
     rows = with_measures(docs).select("_lang", "_source", F.inline(F.array(*pairs)))
     return rows.groupBy("_lang", "_source", "measure", "bucket").agg(F.count("*").alias("n"))
@@ -93,19 +93,23 @@ def merged(sketch, keys):
     return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch, keys):
-    """Upper fence of every measure per group of ``keys``, as a map, and the group's size."""
+def quartiles(sketch, keys):
+    """``low`` and ``high`` quartile of every measure per group of ``keys``, as bucket ends, and the group's size ``total``."""
     group = [*keys, "measure"]
     upto = Window.partitionBy(*group).orderBy("bucket")
     whole = Window.partitionBy(*group)
     ranked = sketch.withColumns({"c": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
     quantile = lambda num, den: F.min(F.when(F.col("c") * den >= F.col("total") * num, F.col("bucket")))
-    cut = ranked.groupBy(*group).agg(
-        quantile(1, 4).alias("q1"), quantile(1, 2).alias("q2"), quantile(3, 4).alias("q3"), F.max("total").alias("total")
-    )
-    slack = F.create_map(*[x for m, s in SLACK.items() for x in (F.lit(m), F.lit(s))])
-    fence = F.col("q2") + F.greatest(SPREADS * (F.col("q3") - F.col("q1")), slack[F.col("measure")].cast("bigint"))
-    return cut.groupBy(*keys).agg(
+    return ranked.groupBy(*group).agg(quantile(1, 4).alias("low"), quantile(3, 4).alias("high"), F.max("total").alias("total"))
+
+
+def fences(sketch, keys):
+    """Upper fence of every measure per group of ``keys``, as a map, and the group's size."""
+    least = F.create_map(*[x for m, s in ROUNDING.items() for x in (F.lit(m), F.lit(s).cast("bigint"))])
+    spread = F.greatest(F.col("high") - F.col("low"), least[F.col("measure")])
+    # A bucket is known by its lower end; its values reach a 64th further.
+    fence = F.col("high") + F.expr("high div 64") + SPREADS * spread
+    return quartiles(sketch, keys).groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("measure", fence.alias("fence")))).alias("fence"),
         F.max("total").alias("total"),
     )
@@ -120,7 +124,7 @@ def thresholds(docs):
         "_lang", F.col("fence").alias("lang_fence"), F.col("total").alias("lang_total")
     )
     overall = fences(merged(own, []), []).first()["fence"] or {}
-    everyone = F.create_map(*[x for m in SLACK for x in (F.lit(m), F.lit(overall.get(m)).cast("bigint"))])
+    everyone = F.create_map(*[x for m in ROUNDING for x in (F.lit(m), F.lit(overall.get(m)).cast("bigint"))])
     enough = lambda c: F.col(c) >= LEAST_DOCUMENTS
     cuts = by_source.join(by_lang, "_lang").select(
         "_lang",
@@ -165,7 +169,7 @@ def _judged(docs, limits=None):
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     )
     inside = F.lit(True)
-    for m in SLACK:
+    for m in ROUNDING:
         inside = inside & (F.col(f"m_{m}") <= F.coalesce(F.col("_fence")[m], F.lit(2**62)))
     df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & inside)
     return df.select("_row", *RESULT)

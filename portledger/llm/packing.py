@@ -3,8 +3,9 @@
 A document is as long as its words and one end mark. Beyond the largest capacity it is cut; its full
 pieces are bins of their own and need no packing, so every document has one piece to pack at most.
 These are dealt into groups of about ``GROUP`` by a hash, and each group is packed on its own: longest
-first, into the open bin that it leaves the least room in. If none has room, a bin is opened whose size
-costs least for each token that it can still be filled with, given all that is left in the group.
+first, into the open bin that it leaves the least room in. If none has room, a bin is opened. Its size is chosen
+together with what is to go into it: for every permitted size the bin is filled, as a trial, with the longest lengths still to come
+that fit, shrunk to its contents, and the size that costs least for each token held is opened.
 In the end every bin shrinks to the smallest permitted size that holds its contents.
 
 The number of groups grows with the documents, so a task's memory does not, and a group wastes one
@@ -34,10 +35,27 @@ def cost(capacity):
     return capacity + OVERHEAD + capacity * capacity / ATTENTION
 
 
-def open_size(length, left, capacities=CAPACITIES):
-    """The size whose cost per token filled is least, if ``left`` tokens remain to fill it with."""
-    fits = [c for c in capacities if c >= length]
-    return min(fits, key=lambda c: (cost(c) / min(c, length + left), c))
+def filled(length, capacity, sizes, counts):
+    """Tokens in a bin of ``capacity`` that starts with ``length`` and goes on with the longest pieces that fit.
+
+    ``sizes`` are the lengths still to come, ascending, ``counts`` how often each does.
+    """
+    used = length
+    at = bisect.bisect_right(sizes, capacity - used) - 1
+    while at >= 0:
+        used += min(counts[at], (capacity - used) // sizes[at]) * sizes[at]
+        at = min(at - 1, bisect.bisect_right(sizes, capacity - used) - 1)
+    return used
+
+
+def open_size(length, sizes, counts, capacities=CAPACITIES):
+    """The size to open for ``length``: the one whose trial filling costs least per token."""
+
+    def price(capacity):
+        used = filled(length, capacity, sizes, counts)
+        return cost(next(c for c in capacities if c >= used)) / used, capacity
+
+    return min((c for c in capacities if c >= length), key=price)
 
 
 def pack(lengths, capacities=CAPACITIES):
@@ -47,24 +65,28 @@ def pack(lengths, capacities=CAPACITIES):
     """
     lengths = np.asarray(lengths, np.int64)
     order = np.argsort(-lengths, kind="stable")
-    left = int(lengths.sum())
+    sizes, counts = (x.tolist() for x in np.unique(lengths, return_counts=True))
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     used, rooms = [], []  # rooms: (room, bin) in order, of bins that have room
     for i in order.tolist():
         n = int(lengths[i])
-        left -= n
+        # Longest first: what is still to come is all below, and the rest of this length.
+        counts[-1] -= 1
+        if not counts[-1]:
+            sizes.pop()
+            counts.pop()
         at = bisect.bisect_left(rooms, (n, -1))
         if at < len(rooms):
             room, b = rooms.pop(at)
         else:
-            b, room = len(used), open_size(n, left, capacities)
+            b, room = len(used), open_size(n, sizes, counts, capacities)
             used.append(0)
         bins[i], offsets[i] = b, used[b]
         used[b] += n
         if room > n:
             bisect.insort(rooms, (room - n, b))
-    sizes = np.asarray(capacities)
-    final = sizes[np.searchsorted(sizes, np.asarray(used, np.int64))]
+    permitted = np.asarray(capacities)
+    final = permitted[np.searchsorted(permitted, np.asarray(used, np.int64))]
     return bins, offsets, final[bins] if len(bins) else bins
 
 

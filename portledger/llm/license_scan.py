@@ -1,20 +1,28 @@
 """License scan by canonical digests, in DataFrame operations only.
 
-Every entire text unit of a document (the whole text, each paragraph between blank lines, each
-line) is brought into a canonical form: lower case, without copyright lines, punctuation as blanks,
-equivalent spellings made one. The digest of that form is looked up in the digests of known license
-texts and notices by a hash join. The known side is a fixed list of this module, so it is broadcast;
-documents are never shuffled.
+Every entire text unit of a document (the whole text, each paragraph, each line) is brought into a
+canonical form: lower case, without copyright lines, punctuation as blanks, equivalent spellings
+made one. The digest of that form is looked up in the digests of known license texts and notices by a hash
+join. Lines without a letter or digit part paragraphs, so texts inside comment frames count too. A known
+text of several paragraphs is found inside a document as a run of paragraphs with its digests, in its order.
+
+The known side is a table ``(license, text)``: the notices of this module and the license texts and file headers in
+``licenses/`` beside it, or a caller's own. Documents are never shuffled; only found units are grouped.
 
 Result: one row per unit found, ``doc_id, unit, position, license, digest``; ``position`` counts the
 units of a kind from 0. A unit that is the whole text is reported as ``text`` only, a paragraph of
-one line as ``line`` only. Null or empty text has no units. A null ``doc_id`` stays null. Repeated
+one line as ``line`` only. A run of paragraphs is a ``passage``, its position is that of its first paragraph and its digest that of the
+known text; runs that are all of a document are its ``text``. Null or empty text has no units. A null ``doc_id`` stays null. Repeated
 rows are scanned each. Other columns are not looked at.
 """
 
+import re
+from importlib import resources
+
 from pyspark.sql import functions as F
 
-from portledger.llm.common import as_text
+from portledger.llm.common import as_text, small_side
+from portledger.session import checkpoint_root
 
 # License identifiers and the names they go by.
 NAMES = {
@@ -111,92 +119,178 @@ SPELLINGS = {
     "v3": "version 3",
 }
 COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:\(c\)|©|:|<year>|\[year\]|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
-PUNCTUATION = r"[^\p{L}\p{N}]+"
+# Between paragraphs: a line without a letter or digit. It becomes a line of the sign PART alone.
+SEPARATOR = r"\n[^\p{L}\p{N}\n]*\n"
+PART = "\u0001"
+PUNCTUATION = r"[^\p{L}\p{N}\n\x01]+"
+# Sentences that begin a paragraph of the texts above, and list items, which follow with or without a blank line.
+OPENING = r"(?<=[.]) (?=The above|THE SOFTWARE)"
+ITEM = r"\n\s*\n(?=\s*(?:[0-9*]+[.)]? )\S)"
+CLOSING = "END OF TERMS AND CONDITIONS"
 
 
-def canonical(text):
-    """Canonical form of a text column; empty if nothing is left."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, PUNCTUATION, " "), F.lit(" "))
+def bodies(text):
+    """A text column in lower case, without copyright lines and punctuation; its lines and parted paragraphs stay."""
+    out = F.regexp_replace(F.translate(text, PART, "\u0002"), SEPARATOR, f"\n{PART}\n")
+    return F.regexp_replace(F.regexp_replace(F.lower(out), COPYRIGHT_LINE, "$1"), PUNCTUATION, " ")
+
+
+def spelled(body):
+    """Canonical form of a line, paragraph or text out of ``bodies``; empty if nothing is left."""
+    out = F.concat(F.lit(" "), F.regexp_replace(body, r"[ \n\x01]+", " "), F.lit(" "))
     for old, new in SPELLINGS.items():
         out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
     return F.trim(out)
 
 
+def canonical(text):
+    """Canonical form of a text column; empty if nothing is left."""
+    return spelled(bodies(text))
+
+
+def layouts(text):
+    """A text and the ways it is also set: without what follows its terms, list items without blank lines."""
+    cut = text.split(CLOSING)[0]
+    both = [text, cut, cut + CLOSING] if CLOSING in text else [text]
+    return [*both, *(re.sub(ITEM, "\n", t) for t in both)]
+
+
 def known_texts():
-    """``(license, text)`` of the fixed list."""
+    """``(license, text)`` of the notices, and of the license texts and headers with their layouts."""
     rows = [(i, n.format(name)) for i, names in NAMES.items() for name in [*names, i] for n in NOTICES]
-    rows += list(TEXTS.items())
-    rows += [(i, f"{TITLES[i]}\n\n{t}") for i, t in TEXTS.items()]
-    return list(dict.fromkeys(rows))
+    texts = [(i, t) for i, t in TEXTS.items()] + [(i, re.sub(OPENING, "\n\n", t)) for i, t in TEXTS.items()]
+    texts += [(i, f"{TITLES[i]}\n\n{t}") for i, t in texts if i in TITLES]
+    folder = resources.files("portledger.llm") / "licenses"
+    files = sorted((f for f in folder.iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    texts += [(f.name.removesuffix(".txt").split("__")[0], f.read_text("utf-8")) for f in files]
+    return list(dict.fromkeys(rows + [(i, t) for i, text in texts for t in layouts(text)]))
 
 
 def known_digests(spark, texts=None):
-    """``(digest, license)``; of several licenses with one canonical text the first by name counts."""
-    df = spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
-    df = df.select("license", canonical(F.col("text")).alias("form")).where("form != ''")
-    return df.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
+    """``(digest, license, whole, part, parts)`` of known texts.
+
+    ``part`` is null where ``digest`` is that of the entire text; else it is the digest of the part-th of its ``parts`` paragraphs, from 0, if
+    it has several, and ``whole`` the digest of the text. Of several licenses with one canonical text the first by name counts.
+    ``texts`` is a list or a DataFrame ``(license, text)``.
+    """
+    texts = known_texts() if texts is None else texts
+    df = spark.createDataFrame(texts, "license string, text string") if isinstance(texts, list) else texts
+    df = df.select("license", bodies(F.col("text")).alias("body"))
+    df = df.select("license", F.sha2(spelled(F.col("body")), 256).alias("whole"), paragraphs("body").alias("of"))
+    df = df.withColumn("forms", F.transform("of", lambda p: F.sha2(spelled(p["body"]), 256)))
+    df = df.groupBy("whole", "forms").agg(F.min("license").alias("license")).where("size(forms) > 0")
+    entire = df.groupBy(F.col("whole").alias("digest")).agg(F.min("license").alias("license"))
+    entire = entire.select("digest", "license", F.col("digest").alias("whole"), F.lit(None).cast("int").alias("part"), F.lit(None).cast("int").alias("parts"))
+    several = df.where("size(forms) > 1")
+    several = several.select("license", "whole", F.size("forms").alias("parts"), F.posexplode("forms").alias("part", "digest"))
+    return entire.unionByName(several)
+
+
+def paragraphs(body):
+    """Paragraphs of a body that hold something: ``(position, body, several)``, in order; ``several`` lines or one."""
+    parts = F.transform(
+        F.split(body, f"\n{PART}\n"),
+        lambda x, i: F.struct(i.cast("bigint").alias("position"), x.alias("body"), x.contains("\n").alias("several")),
+    )
+    return F.filter(parts, lambda p: p["body"].rlike(r"[^ \n\x01]"))
 
 
 def units(docs):
-    """``(doc_id, unit, position, body)`` of all whole texts, paragraphs and lines."""
+    """``(doc_id, text_key, n, unit, position, seq, body)`` of all whole texts, paragraphs and lines with something in them.
+
+    ``n`` counts the text's paragraphs and ``seq`` is a paragraph's place among them. A paragraph of one line, or that is
+    the whole text, has the unit ``part``: it counts for passages only.
+    """
     df = docs.select("doc_id", as_text(docs).alias("_t")).where("_t != ''")
-    lines = F.transform(
-        F.split("_t", "\n"),
-        lambda x, i: F.struct(F.lit("line").alias("unit"), i.cast("bigint").alias("position"), x.alias("body")),
-    )
-    blocks = F.transform(
-        F.split("_t", r"\n[ \t\r]*\n"),
-        lambda x, i: F.struct(F.lit("paragraph").alias("unit"), i.cast("bigint").alias("position"), x.alias("body")),
-    )
-    whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).cast("bigint").alias("position"), F.col("_t").alias("body")))
-    paragraphs = F.filter(blocks, lambda u: u["body"].contains("\n") & (u["body"] != F.col("_t")))
-    single = F.filter(lines, lambda u: u["body"] != F.col("_t"))
-    return df.select("doc_id", F.inline(F.concat(whole, paragraphs, single)))
+    df = df.select("doc_id", F.xxhash64("_t").alias("text_key"), bodies(F.col("_t")).alias("_b"))
+    df = df.withColumn("_p", paragraphs("_b"))
+
+    def row(unit, position, seq, body):
+        return F.struct(unit.alias("unit"), position.alias("position"), seq.cast("int").alias("seq"), body.alias("body"))
+
+    none = F.lit(None)
+    zero = F.lit(0).cast("bigint")
+    whole = F.filter(F.array(row(F.lit("text"), zero, none, F.col("_b"))), lambda u: F.size("_p") > 0)
+    own = lambda p: p["several"] & (p["body"] != F.col("_b"))
+    parts = F.transform("_p", lambda p, i: row(F.when(own(p), "paragraph").otherwise("part"), p["position"], i, p["body"]))
+    lines = F.transform(F.split("_b", "\n"), lambda x, i: row(F.lit("line"), i.cast("bigint"), none, x))
+    lines = F.filter(lines, lambda u: u["body"].rlike(r"[^ \x01]") & F.col("_b").contains("\n"))
+    return df.select("doc_id", "text_key", F.size("_p").alias("n"), F.inline(F.concat(whole, parts, lines)))
 
 
 def license_units(docs, known=None):
-    """The units of ``docs`` whose canonical digest is known."""
+    """The units of ``docs`` whose canonical digest is known, and the runs of paragraphs that are a known text."""
+    checkpoint_root(docs.sparkSession)
     known = known_digests(docs.sparkSession) if known is None else known
-    forms = units(docs).select("doc_id", "unit", "position", canonical(F.col("body")).alias("form")).where("form != ''")
-    found = forms.select("doc_id", "unit", "position", F.sha2("form", 256).alias("digest"))
-    return found.join(F.broadcast(known), "digest").select("doc_id", "unit", "position", "license", "digest")
+    # Never null, or the join's test for null would compute each digest twice.
+    digest = F.coalesce(F.sha2(spelled(F.col("body")), 256), F.lit(""))
+    forms = units(docs).withColumn("digest", digest).drop("body")
+    fits = F.when(F.col("part").isNull(), F.col("unit") != "part").otherwise(F.col("seq").isNotNull() & (F.col("n") > F.col("parts")))
+    found = forms.join(small_side(known.checkpoint()), "digest").where(fits).checkpoint()
+    columns = ["doc_id", "unit", "position", "license", "digest"]
+    runs = found.where("part is not null").withColumn("first", F.col("seq") - F.col("part"))
+    runs = runs.groupBy("doc_id", "text_key", "whole", "parts", "first", "license", "part").agg(
+        F.count("*").alias("copies"), F.min("position").alias("position"))
+    runs = runs.groupBy("doc_id", "text_key", "whole", "parts", "first", "license").agg(
+        F.count("*").alias("n"), F.min("copies").alias("copies"), F.min("position").alias("position"))
+    # One row for each repeated row of the table, and for each layout of a text only one.
+    runs = runs.where("n = parts").groupBy("doc_id", "text_key", "whole", "position").agg(
+        F.min("license").alias("license"), F.min("copies").alias("copies"))
+    runs = runs.select("doc_id", "position", "license", F.col("whole").alias("digest"), F.explode(F.expr("sequence(1, copies)")))
+    return found.where("part is null").select(columns).unionByName(runs.withColumn("unit", F.lit("passage")).select(columns))
 
 
 def op10_license_scan(spark, sf_dir):
     return license_units(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def _sql_form(text):
-    """The canonical form in SQL."""
+def _sql_bodies(text):
     line = COPYRIGHT_LINE.replace("'", "''")
-    out = f"regexp_replace(lower({text}), '{line}', '\\1', 'g')"
-    out = f"' ' || regexp_replace({out}, '{PUNCTUATION}', ' ', 'g') || ' '"
+    out = f"regexp_replace(translate({text}, chr(1), chr(2)), '{SEPARATOR}', chr(10) || chr(1) || chr(10), 'g')"
+    return f"regexp_replace(regexp_replace(lower({out}), '{line}', '\\1', 'g'), '{PUNCTUATION}', ' ', 'g')"
+
+
+def _sql_digest(body):
+    """The digest of the canonical form in SQL."""
+    out = f"' ' || regexp_replace({body}, '[ \\n\\x01]+', ' ', 'g') || ' '"
     for old, new in SPELLINGS.items():
         out = f"replace({out}, ' {old} ', ' {new} ')"
-    return f"trim({out})"
+    return f"sha256(trim({out}))"
 
 
 def oracle():
     values = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in known_texts())
+    split = "string_split({}, chr(10) || chr(1) || chr(10))"
+    some = "regexp_matches({}, '[^ \\n\\x01]')"
     return f"""
 WITH known_text(license, body) AS (VALUES {values}),
-known AS (
-  SELECT sha256({_sql_form("body")}) AS digest, min(license) AS license FROM known_text
-  WHERE {_sql_form("body")} <> '' GROUP BY 1),
-t AS (SELECT doc_id, text AS body FROM documents WHERE coalesce(text, '') <> ''),
-l AS (SELECT doc_id, body, string_split(body, chr(10)) AS parts FROM t),
-p AS (SELECT doc_id, body, regexp_split_to_array(body, '\\n[ \\t\\r]*\\n') AS parts FROM t),
+kb AS (SELECT license, {_sql_bodies("body")} AS body FROM known_text),
+kd AS (SELECT license, body, {_sql_digest("body")} AS whole FROM kb WHERE {some.format("body")}),
+kp AS (
+  SELECT license, whole, list_transform(list_filter({split.format("body")}, lambda x: {some.format("x")}),
+         lambda x: {_sql_digest("x")}) AS forms FROM kd),
+entire AS (SELECT whole AS digest, min(license) AS license FROM kd GROUP BY 1),
+several AS (SELECT whole, forms, min(license) AS license FROM kp WHERE len(forms) > 1 GROUP BY 1, 2),
+parts AS (
+  SELECT whole, license, len(forms) AS parts, unnest(forms) AS digest, unnest(range(0, len(forms))) AS part FROM several),
+t AS (
+  SELECT row_number() OVER () AS r, doc_id, {_sql_bodies("text")} AS body FROM documents WHERE coalesce(text, '') <> ''),
+p0 AS (SELECT r, doc_id, body AS whole_body, unnest({split.format("body")}) AS body,
+       unnest(range(0, len({split.format("body")}))) AS position FROM t),
+p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY position) - 1 AS seq, count(*) OVER (PARTITION BY r) AS n
+      FROM p0 WHERE {some.format("body")}),
+l AS (SELECT r, doc_id, unnest(string_split(body, chr(10))) AS body,
+      unnest(range(0, len(string_split(body, chr(10))))) AS position FROM t WHERE contains(body, chr(10))),
 u AS (
-  SELECT doc_id, 'text' AS unit, 0 AS position, body FROM t
-  UNION ALL
-  SELECT doc_id, 'line', i - 1, part FROM
-    (SELECT doc_id, body, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM l) WHERE part <> body
-  UNION ALL
-  SELECT doc_id, 'paragraph', i - 1, part FROM
-    (SELECT doc_id, body, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM p)
-  WHERE part <> body AND contains(part, chr(10)))
+  SELECT doc_id, 'text' AS unit, 0 AS position, body FROM t WHERE {some.format("body")}
+  UNION ALL SELECT doc_id, 'line', position, body FROM l WHERE {some.format("body")}
+  UNION ALL SELECT doc_id, 'paragraph', position, body FROM p WHERE contains(body, chr(10)) AND body <> whole_body),
+runs AS (
+  SELECT r, any_value(doc_id) AS doc_id, whole, min(position) AS position, min(license) AS license
+  FROM (SELECT r, doc_id, n, seq, position, {_sql_digest("body")} AS digest FROM p) q JOIN parts USING (digest)
+  WHERE n > parts.parts GROUP BY r, whole, parts.parts, seq - part, license HAVING count(*) = parts.parts)
 SELECT doc_id, unit, position::BIGINT AS position, license, digest
-FROM (SELECT doc_id, unit, position, {_sql_form("body")} AS form FROM u) f
-JOIN known ON known.digest = sha256(f.form) WHERE f.form <> ''
+FROM (SELECT doc_id, unit, position, {_sql_digest("body")} AS digest FROM u) f JOIN entire USING (digest)
+UNION ALL
+SELECT any_value(doc_id), 'passage', position::BIGINT, min(license), whole FROM runs GROUP BY r, whole, position
 """

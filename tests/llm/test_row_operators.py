@@ -4,7 +4,9 @@ import collections
 import hashlib
 import random
 import re
+from pathlib import Path
 
+import duckdb
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -117,6 +119,61 @@ def test_license_scan(spark):
     assert license_scan.license_units(empty(spark)).count() == 0
 
 
+def license_file(name):
+    return (Path(license_scan.__file__).parent / "licenses" / f"{name}.txt").read_text()
+
+
+def numbered(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+
+WHOLE = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "CC0-1.0", "MPL-2.0", "Zlib", "Unlicense"]
+
+
+def test_whole_licenses_are_found_alone_and_inside(spark):
+    framed = "\n".join(f" * {x}".rstrip() for x in license_file("Apache-2.0__header").split("\n"))
+    apache = license_file("Apache-2.0")
+    inside = [f"About us.\n\nCopyright 2020 A\n{license_file(n)}\n\nThe end." for n in WHOLE]
+    odd = [
+        f"/*\n * Copyright 2024 Some One\n *\n{framed}\n */\npackage a.b;\n\nclass C {{}}",
+        "Intro.\n\n" + apache[: len(apache) // 2],
+        "Intro.\n\n" + license_file("BSD-2-Clause").replace("conditions are met", "conditions hold"),
+        "x " * 1_000_000,
+    ]
+    docs = numbered(spark, [license_file(n) for n in WHOLE] + inside + odd)
+    twice = docs.unionByName(docs.where(f"doc_id = {len(WHOLE)}"))
+    rows = license_scan.license_units(twice).collect()
+    texts = {r["doc_id"]: r["license"] for r in rows if r["unit"] == "text"}
+    assert texts == dict(enumerate(WHOLE))
+    passages = {(r["doc_id"], r["license"]) for r in rows if r["unit"] == "passage" and r["position"] <= 2}
+    assert passages >= {(len(WHOLE) + i, n) for i, n in enumerate(WHOLE)}
+    top = [r for r in rows if r["doc_id"] == len(WHOLE) and r["unit"] == "passage" and r["position"] <= 2]
+    assert len(top) % 2 == 0 and len({r["digest"] for r in top}) * 2 == len(top)
+    at = 2 * len(WHOLE)
+    assert {r["license"] for r in rows if r["doc_id"] == at and r["unit"] == "passage"} == {"Apache-2.0"}
+    assert not [r for r in rows if r["doc_id"] >= at + 1 and r["unit"] == "passage"]
+
+
+def test_license_scan_takes_a_known_table(spark):
+    own = spark.createDataFrame([("Own-1", "First part.\n\nSecond part."), ("Own-2", "Only this.")], "license string, text string")
+    known = license_scan.known_digests(spark, own)
+    texts = ["a\n\nfirst PART\n\nsecond part\n\nb", "second part\n\nfirst part\n\nc", "only this", "First part.\n--\nSecond part."]
+    rows = license_scan.license_units(numbered(spark, texts), known).collect()
+    assert {(r["doc_id"], r["unit"], r["position"], r["license"]) for r in rows} == {
+        (0, "passage", 1, "Own-1"), (2, "text", 0, "Own-2"), (3, "text", 0, "Own-1")}
+
+
+def test_license_scan_equals_sql_with_licenses(spark, tmp_path):
+    base = [f"A.\n\n{license_file(n)}\n\nB." for n in WHOLE] + ["Licence: MIT", "a\n\n\n\nMIT\nLicense\n \t\nb\n***\nISC License", "\n\n", None, "© 2020\n\nx"]
+    docs = numbered(spark, base + base[:2])
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    part = next((tmp_path / "d").glob("*.parquet"))
+    cur = duckdb.sql(license_scan.oracle().replace(" FROM documents ", f" FROM '{part}' "))
+    df = license_scan.license_units(docs)
+    rows = sorted_rows(df.columns, [tuple(r) for r in df.collect()])
+    assert len(rows) > 30 and rows == sorted_rows(cur.columns, cur.fetchall())
+
+
 @pytest.mark.parametrize("name", ["op10_license_scan"])
 def test_against_sql(spark, name):
     df = entry.queries()[name](spark, SF_DIR)

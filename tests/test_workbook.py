@@ -1,6 +1,10 @@
+import cProfile
 import datetime
+import io
 import subprocess
 import sys
+import zipfile
+from xml.etree import ElementTree
 
 import pytest
 from pyspark import cloudpickle
@@ -248,3 +252,90 @@ def test_a_missing_file_is_an_error_row(spark, tmp_path):
 
 def test_column_letters():
     assert [wb._column_index(column_name(i)) for i in (0, 25, 26, 701, 702)] == [0, 25, 26, 701, 702]
+
+
+SHEET = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">{}</worksheet>'
+
+
+def rows_of(sheet, strings=None):
+    """Rows of a sheet's XML, and whether they were read without a tree."""
+    plain = zipfile.ZipFile(io.BytesIO(workbook_bytes({"s": [["x", (1, 1)]]}, shared=True, styles=[0, 14])))
+    parts = {n: plain.read(n) for n in plain.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = sheet.encode() if isinstance(sheet, str) else sheet
+    parts |= {} if strings is None else {"xl/sharedStrings.xml": strings.encode()}
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        for name, data in parts.items():
+            archive.writestr(name, data)
+    with zipfile.ZipFile(out) as archive:
+        book = wb._Workbook(archive)
+        with archive.open("xl/worksheets/sheet1.xml") as part:
+            tree = list(book._tree_rows(part))
+        try:
+            with archive.open("xl/worksheets/sheet1.xml") as part:
+                usual = list(book._usual_rows(part))
+        except wb._Unusual:
+            usual = None
+        got = list(book.rows("xl/worksheets/sheet1.xml"))
+    assert got == tree and usual in (None, tree)
+    return got, usual is not None
+
+
+def test_usual_sheets_are_read_without_a_tree_and_give_its_rows():
+    body = (
+        '<dimension ref="A1:D9"/><sheetData><row r="1" spans="1:4"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>007</v></c>'
+        '<c r="D1" s="1"><v>43845</v></c></row><row r="3"/><row r="4"><c r="B4" s="1"/><c r="C4" t="b"><v>1</v></c>'
+        '<c r="D4" t="str"><v> é한 </v></c><c r="E4"><v>1.50</v></c></row><row r="6"><c r="A6"></c></row></sheetData><pageMargins left="1"/>'
+    )
+    rows, usual = rows_of('<?xml version="1.0" encoding="UTF-8"?>' + SHEET.format(body))
+    assert usual and [at for at, *_ in rows] == [0, 3]
+    assert rows[0] == (0, ["x", None, "7", "2020-01-15 00:00:00"], [3]) and rows[1][1] == [None, None, "True", " é한 ", "1.5"]
+    # The same over many parts.
+    many = "".join(f'<row r="{i}"><c r="A{i}"><v>{i}</v></c><c r="B{i}" t="str"><v>{"é" * (i % 50)}</v></c></row>' for i in range(1, 9000))
+    rows, usual = rows_of(SHEET.format(f"<sheetData>{many}</sheetData>"))
+    assert usual and len(rows) == 8999 and rows[8998][:2] == (8998, ["8999", "é" * 49])
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<row r='1'><c r='A1'><v>1</v></c></row>",
+        '<row r="1"><c r="A1"><!-- <v>2</v> --><v>1</v></c></row>',
+        '<row r="1"><c r="A1" t="str"><v><![CDATA[<row r="9">]]></v></c></row>',
+        '<row r="1"><c r="A1" t="str"><v>a &amp; b</v></c></row>',
+        '<row r="1">\n <c r="A1"><f>1+1</f><v>2</v></c>\n</row>',
+        '<row r="1"><c r="A1"><v>1</v></c></row><row><c><v>2</v></c></row>',
+        '<row r="1"><c r="A1" t="inlineStr"><is><t>one</t></is></c></row>',
+        '<row r="1" foo="2"><c r="A1"><v>5</v></c></row>',
+    ],
+)
+def test_other_sheets_are_walked_as_a_tree(body):
+    rows, usual = rows_of(SHEET.format(f"<sheetData>{body}</sheetData>"))
+    assert not usual and rows
+
+
+@pytest.mark.parametrize(
+    "sheet",
+    [
+        SHEET.format('<sheetData><row r="1"><c r="A1"><v>1</v></c></row></sheetData><broken>'),
+        SHEET.format('<sheetData><row r="1"><c r="A1"><v>1</v></c></row>'),
+        SHEET.format('<sheetData><row r="1"><c r="A1"><v>1</v></row></c></sheetData>'),
+        SHEET.format('<sheetData><row r="1"><c r="A1"><v>1</v></c></row></sheetData>').encode() + b"\xff",
+    ],
+)
+def test_malformed_sheets_are_errors(sheet):
+    with pytest.raises(ElementTree.ParseError):
+        rows_of(sheet)
+
+
+def test_plain_cells_cost_little():
+    # Counted in calls of Python functions, which do not depend on the machine.
+    content = workbook_bytes({"s": [[f"a{i}", "b", i, str(i % 7), "e"] for i in range(4000)]}, shared=True)
+    list(wb._blocks("p", lambda: io.BytesIO(content), None))
+    profile = cProfile.Profile()
+    profile.enable()
+    blocks = list(wb._blocks("p", lambda: io.BytesIO(content), None))
+    profile.disable()
+    assert sum(len(b.column("rows")[0]) for b in blocks) == 4000
+    calls = sum(entry.callcount for entry in profile.getstats())
+    assert calls < 100 * 4000

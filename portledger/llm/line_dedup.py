@@ -115,20 +115,20 @@ def within(a, b, k):
 def line_rows(docs):
     """``(doc, tie, n, line, chars)``: every line as its hash. ``tie`` tells texts of one id apart."""
     text = as_text(docs)
-    rows = docs.select(
-        F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(text).alias("tie"),
-        F.posexplode(F.split(text, "\n")).alias("n", "body"),
-    )
+    # Hashed before its lines are apart: once for each text, not for each line.
+    texts = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("_t"))
+    rows = texts.select("doc", "tie", F.posexplode(F.split("_t", "\n")).alias("n", "body"))
     # Blank lines and rules of signs are layout.
     rows = rows.where(F.col("body").rlike(r"[\p{L}\p{N}]") | (F.length("body") >= LEAST))
     return rows.select("doc", "tie", "n", F.xxhash64("body").alias("line"), F.length("body").alias("chars"))
 
 
-def letters_of(body):
-    """Which of 32 classes of code points a line holds an odd number of, as bits: an edit changes two at most."""
-    odd = np.bincount(np.frombuffer(body.encode("utf-32-le"), "<u4") & 31, minlength=32) & 1
-    return int((odd << np.arange(32)).sum().astype(np.uint32).view(np.int32))
+def letters_of(bodies):
+    """Per line, which of 32 classes of code points it holds an odd number of, as bits: an edit changes two at most."""
+    codes = np.frombuffer("".join(bodies).encode("utf-32-le"), "<u4") & 31
+    starts = np.cumsum([0, *map(len, bodies)])[:-1]
+    # Lines that are posted are not empty.
+    return np.bitwise_xor.reduceat(np.left_shift(np.uint32(1), codes), starts).astype(np.uint32).view(np.int32)
 
 
 def _poster(k, least):
@@ -143,22 +143,31 @@ def _poster(k, least):
     def post(batches):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            keys, kinds, docs, numbers, lines, letters, seen = [], [], [], [], [], [], set()
-            for doc, n, line, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if line in seen:
-                    continue
-                seen.add(line)
+            docs, numbers, lines, bodies = batch.columns
+            # Copies of a line post once.
+            _, firsts = np.unique(lines.to_numpy(), return_index=True)
+            taken = np.sort(firsts)
+            kept = bodies.take(pa.array(taken)).to_pylist()
+            if not kept:
+                continue
+            keys, own_sizes, other_sizes = [], [], []
+            for body in kept:
                 own, other = plan(len(body))
-                keys += [digest(body[a:b].encode(), seed) for seed, a, b in own]
-                keys += [digest(body[a:b].encode(), seed) for seed, a, b in other]
-                size = len(own) + len(other)
-                kinds += [False] * len(own) + [True] * len(other)
-                docs += [doc] * size
-                numbers += [n] * size
-                lines += [line] * size
-                letters += [letters_of(body)] * size
-            arrays = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(kinds, pa.bool_()), pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lines, pa.int64()), pa.array(letters, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "probe", "doc", "n", "line", "letters"])
+                raw = body.encode()
+                if len(raw) == len(body):
+                    keys += [digest(raw[a:b], seed) for seed, a, b in own]
+                    keys += [digest(raw[a:b], seed) for seed, a, b in other]
+                else:
+                    keys += [digest(body[a:b].encode(), seed) for seed, a, b in own]
+                    keys += [digest(body[a:b].encode(), seed) for seed, a, b in other]
+                own_sizes.append(len(own))
+                other_sizes.append(len(other))
+            pairs = np.column_stack([own_sizes, other_sizes])
+            sizes = pairs.sum(axis=1)
+            kinds = np.repeat(np.tile([False, True], len(kept)), pairs.ravel())
+            per_line = [c.to_numpy()[taken] for c in (docs, numbers, lines)] + [letters_of(kept)]
+            columns = [np.array(keys, np.uint64).view(np.int64), kinds, *(np.repeat(c, sizes) for c in per_line)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "probe", "doc", "n", "line", "letters"])
 
     return post
 

@@ -365,3 +365,18 @@ def test_pipeline_stages(spark, tmp_path):
     for r in rows:
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["n_tokens"]
     assert got == want
+
+
+def test_a_text_is_hashed_before_its_lines_are_apart(spark):
+    docs = spark.createDataFrame([(1, "one line\nand another line")], "doc_id long, text string")
+    rows = line_dedup.line_rows(docs)
+    assert rows.count() == 2
+    # Top first: the hash of the text lies below the step that takes its lines apart.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate") < plan.rindex("AS tie")
+
+
+def test_letters_of_many_lines_at_once():
+    bodies = ["a", "aab" * 9, "日本語 text é" * 3, "\U0001f600 x\x00"]
+    want = [sum(1 << c for c in range(32) if sum(ord(x) & 31 == c for x in body) % 2) for body in bodies]
+    assert [int(v) & 0xFFFFFFFF for v in line_dedup.letters_of(bodies)] == want

@@ -29,7 +29,8 @@ from portledger.llm.common import as_text, stored
 KEY_HEADER = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
 TOKEN_RUN = r"[A-Za-z0-9+/=_\-]{16,}+"
 QUOTED_VALUE = r"(?<=[\"'])[^\"'\s]{8,}+(?=[\"'])"
-NAMED_VALUE = r"(?<=(?i:word|pwd|pass|ecret|oken|_key|-key|apikey)(?:=|: |:|=\"|='))[^\s\"',;]{6,}+"
+# What must end before a named value is looked at first: the names are then tried at few places.
+NAMED_VALUE = r"(?<=[=: \"'])(?<=[=:]|: |=[\"'])(?<=(?i:word|pwd|pass|ecret|oken|_key|-key|apikey)(?:=|: |:|=\"|='))[^\s\"',;]{6,}+"
 ADDRESS_PASSWORD = r"(?<=[^\s/:@]:)[^\s/:@\"']{3,}+(?=@[A-Za-z0-9])"
 SHORT_KEY = r"(?<![A-Za-z0-9])sk-[A-Za-z0-9]{8,}+"
 CANDIDATE = "|".join([KEY_HEADER, NAMED_VALUE, TOKEN_RUN, QUOTED_VALUE, ADDRESS_PASSWORD, SHORT_KEY])

@@ -488,3 +488,16 @@ def test_native_plans(spark):
     for name in ("op2_secret_scan", "op7_quality_rules", "op10_license_scan"):
         plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert not any(node in plan for node in ("Python", "InArrow", "InPandas", "CartesianProduct"))
+
+
+def test_named_values_are_sought_only_behind_their_signs(spark):
+    names = secret_scan.NAMED_VALUE.index("(?<=(?i:")
+    guard, plain = secret_scan.NAMED_VALUE[:names], secret_scan.NAMED_VALUE[names:]
+    assert guard
+    rng = random.Random(5)
+    parts = ["password", "api_key", "Token", "=", ": ", ":", "=\"", "='", " ", "\n", "abc123xyz", "s3cr3t-value", "\"", "'", "é", ",", "@", "x"]
+    texts = [("".join(rng.choice(parts) for _ in range(30)),) for _ in range(400)]
+    df = spark.createDataFrame(texts, "t string")
+    found = [F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (guard + plain, plain)]
+    rows = df.select(*[f.alias(n) for f, n in zip(found, "ab")]).collect()
+    assert all(r["a"] == r["b"] for r in rows) and sum(len(r["a"]) for r in rows) > 50

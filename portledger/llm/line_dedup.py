@@ -8,7 +8,7 @@ lines under ``SHORT`` not at all.
 Of two lines within ``k`` edits, cut one into ``k + 1`` segments: one segment lies unchanged in the other, near
 its old place. So each line indexes its segments under (length, number, hash) and probes with the few
 substrings that may match a segment of a line of its own or a smaller length. Postings are sorted by
-key; lines that share one become candidates unless their letters differ too much, and those are verified on their texts with a banded
+key; lines that share one become candidates unless their letters or pairs of letters differ too much, and those are verified on their texts with a banded
 bit-parallel edit distance.
 
 Copies of a line post once per task. A long list of postings first compares its members with its
@@ -38,10 +38,12 @@ LEAST = 40
 SHORT = 20
 # Postings lists of more lines go through their earliest line first.
 LONG_LIST = 32
+# Lines whose postings are one batch.
+POSTED = 2_000
 NO_ID = (1 << 63) - 1
 
-POSTINGS = "key long, probe boolean, doc long, n int, line long, letters int"
-CANDIDATES = "key long, a long, b long, rest boolean, letters int"
+POSTINGS = "key long, probe boolean, doc long, n int, line long, signs long"
+CANDIDATES = "key long, a long, b long, rest boolean, signs long"
 
 
 def segments(length, k):
@@ -131,6 +133,26 @@ def letters_of(bodies):
     return np.bitwise_xor.reduceat(np.left_shift(np.uint32(1), codes), starts).astype(np.uint32).view(np.int32)
 
 
+def signs_of(bodies):
+    """Per line, ``letters_of`` in 16 classes as the low bits, and which of 48 classes of neighbouring code points
+    it holds an odd number of as the others: an edit changes four of these at most."""
+    codes = np.frombuffer("".join(bodies).encode("utf-32-le"), "<u4")
+    starts = np.cumsum([0, *map(len, bodies)])[:-1]
+    before = np.concatenate([codes[:1], codes[:-1]])
+    # The first code point of a line has no neighbour before it.
+    before[starts] = 0
+    mixed = (before * np.uint32(0x9E3779B1) ^ codes) * np.uint32(0x85EBCA6B)
+    classes = (mixed >> np.uint32(16)) % np.uint32(48) + np.uint32(16)
+    neighbours = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), classes.astype(np.uint64)), starts)
+    letters = letters_of(bodies).view(np.uint32)
+    return (neighbours | ((letters ^ letters >> np.uint32(16)) & np.uint32(0xFFFF)).astype(np.uint64)).view(np.int64)
+
+
+def may_be_near(differ, k):
+    """Whether lines whose ``signs_of`` differ in these bits (unsigned) may be within ``k`` edits."""
+    return (differ & 0xFFFF).bit_count() <= 2 * k and (differ >> 16).bit_count() <= 4 * k
+
+
 def _poster(k, least):
     plans = {}
 
@@ -141,7 +163,6 @@ def _poster(k, least):
         return plans[length]
 
     def post(batches):
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             docs, numbers, lines, bodies = batch.columns
             # Copies of a line post once.
@@ -150,24 +171,29 @@ def _poster(k, least):
             kept = bodies.take(pa.array(taken)).to_pylist()
             if not kept:
                 continue
-            keys, own_sizes, other_sizes = [], [], []
-            for body in kept:
-                own, other = plan(len(body))
-                raw = body.encode()
-                if len(raw) == len(body):
-                    keys += [digest(raw[a:b], seed) for seed, a, b in own]
-                    keys += [digest(raw[a:b], seed) for seed, a, b in other]
-                else:
-                    keys += [digest(body[a:b].encode(), seed) for seed, a, b in own]
-                    keys += [digest(body[a:b].encode(), seed) for seed, a, b in other]
-                own_sizes.append(len(own))
-                other_sizes.append(len(other))
-            pairs = np.column_stack([own_sizes, other_sizes])
-            sizes = pairs.sum(axis=1)
-            kinds = np.repeat(np.tile([False, True], len(kept)), pairs.ravel())
-            per_line = [c.to_numpy()[taken] for c in (docs, numbers, lines)] + [letters_of(kept)]
-            columns = [np.array(keys, np.uint64).view(np.int64), kinds, *(np.repeat(c, sizes) for c in per_line)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "probe", "doc", "n", "line", "letters"])
+            per_line = [c.to_numpy()[taken] for c in (docs, numbers, lines)] + [signs_of(kept)]
+            for at in range(0, len(kept), POSTED):
+                yield posted(kept[at : at + POSTED], [c[at : at + POSTED] for c in per_line])
+
+    def posted(kept, per_line):
+        digest = xxhash.xxh3_64_intdigest
+        keys, own_sizes, other_sizes = [], [], []
+        for body in kept:
+            own, other = plan(len(body))
+            raw = body.encode()
+            if len(raw) == len(body):
+                keys += [digest(raw[a:b], seed) for seed, a, b in own]
+                keys += [digest(raw[a:b], seed) for seed, a, b in other]
+            else:
+                keys += [digest(body[a:b].encode(), seed) for seed, a, b in own]
+                keys += [digest(body[a:b].encode(), seed) for seed, a, b in other]
+            own_sizes.append(len(own))
+            other_sizes.append(len(other))
+        pairs = np.column_stack([own_sizes, other_sizes])
+        sizes = pairs.sum(axis=1)
+        kinds = np.repeat(np.tile([False, True], len(kept)), pairs.ravel())
+        columns = [np.array(keys, np.uint64).view(np.int64), kinds, *(np.repeat(c, sizes) for c in per_line)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "probe", "doc", "n", "line", "signs"])
 
     return post
 
@@ -175,15 +201,15 @@ def _poster(k, least):
 def _lister(limit, k):
     """Sorted postings to candidates: all of a short list, those with the earliest line of a long one.
 
-    Lines whose letters differ in more classes than ``k`` edits can change are no candidates.
+    Lines whose letters, or neighbouring letters, differ in more classes than ``k`` edits can change are no candidates.
     """
 
-    def pairs_of(key, probe, line, letters):
+    def pairs_of(key, probe, line, signs):
         # Rows are in order of (key, doc, n): the first row of a line is its earliest.
-        of = dict(zip(line.tolist(), letters.tolist()))
+        of = dict(zip(line.tolist(), signs.tolist()))
         indexed = list(dict.fromkeys(line[~probe].tolist()))
         probing = list(dict.fromkeys(line[probe].tolist()))
-        near = lambda a, b: a != b and ((of[a] ^ of[b]) & 0xFFFFFFFF).bit_count() <= 2 * k
+        near = lambda a, b: a != b and may_be_near((of[a] ^ of[b]) & 0xFFFFFFFFFFFFFFFF, k)
         if len(indexed) * len(probing) <= limit * limit:
             return [(key, a, b, False, 0) for a in indexed for b in probing if near(a, b)]
         # The earliest line serves as partner; members of both kinds are kept for the second turn.
@@ -192,7 +218,7 @@ def _lister(limit, k):
         out += [(key, a, None, True, of[a]) for a in indexed] + [(key, None, b, True, of[b]) for b in probing]
         return out
 
-    def flush(key, probe, line, letters):
+    def flush(key, probe, line, signs):
         """Candidates of whole lists."""
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.append(starts[1:], len(key))
@@ -202,10 +228,10 @@ def _lister(limit, k):
         out = []
         for i in np.flatnonzero(any_probe & any_index & (low != high)).tolist():
             part = slice(starts[i], ends[i])
-            out += pairs_of(int(key[starts[i]]), probe[part], line[part], letters[part])
+            out += pairs_of(int(key[starts[i]]), probe[part], line[part], signs[part])
         columns = list(zip(*out)) or [(), (), (), (), ()]
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())
-        names = ["key", "a", "b", "rest", "letters"]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+        names = ["key", "a", "b", "rest", "signs"]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def lists(batches):
@@ -266,7 +292,7 @@ def _later(near, firsts):
 def near_repeats(docs, firsts, scratch, k=EDITS, least=LEAST):
     """``(line, earlier)``: hashes of the lines that have an earlier near line, and the first place of one."""
     postings = _long_lines(docs, least).mapInArrow(_poster(k, least), POSTINGS)
-    listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "letters")
+    listed = postings.repartition("key").sortWithinPartitions("key", "doc", "n").select("key", "probe", "line", "signs")
     stored = scratch.stored
     candidates = stored(listed.mapInArrow(_lister(LONG_LIST, k), CANDIDATES), "candidates")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -275,9 +301,11 @@ def near_repeats(docs, firsts, scratch, k=EDITS, least=LEAST):
     # Second turn: members of long lists that are not known to repeat yet meet all the list's other lines.
     rest = candidates.where("rest")
     if rest.limit(1).count():
-        indexed = rest.where("a is not null").select("key", "a", F.col("letters").alias("a_letters"))
-        probing = rest.where("b is not null").select("key", "b", F.col("letters").alias("b_letters"))
-        close = lambda x, y: (x["key"] == y["key"]) & (x["a"] != y["b"]) & (F.bit_count(x["a_letters"].bitwiseXOR(y["b_letters"])) <= 2 * k)
+        indexed = rest.where("a is not null").select("key", "a", F.col("signs").alias("a_signs"))
+        probing = rest.where("b is not null").select("key", "b", F.col("signs").alias("b_signs"))
+        differ = lambda x, y: x["a_signs"].bitwiseXOR(y["b_signs"])
+        few = lambda bits: (F.bit_count(bits.bitwiseAND(0xFFFF)) <= 2 * k) & (F.bit_count(F.shiftrightunsigned(bits, 16)) <= 4 * k)
+        close = lambda x, y: (x["key"] == y["key"]) & (x["a"] != y["b"]) & few(differ(x, y))
         meet = lambda x, y: x.join(y, close(x, y)).select("a", "b")
         # Either line of a pair may be the open one.
         open_a = indexed.join(later, indexed["a"] == later["line"], "left_anti")

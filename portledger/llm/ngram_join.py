@@ -34,9 +34,11 @@ from portledger.session import pinned
 WORDS = 5
 PERCENT = 75
 # Text bytes of a task's block in the first cut.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Words known to a task at once.
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 17
+# Texts that a task takes out of a batch at once.
+TAKEN = 1_000
 # Each frequency class of the order is cut into so many fragments; classes beyond the last are one.
 CUTS, CLASSES = 4, 4
 
@@ -47,6 +49,13 @@ _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
+def _taken(batches):
+    """Slices of few texts: Python holds these, not those of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TAKEN):
+            yield batch.slice(at, TAKEN)
+
+
 class _Words(dict):
     def __missing__(self, word):
         if len(self) >= KNOWN_WORDS:
@@ -116,7 +125,7 @@ def _first_cut(words, percent, bits):
 
     def cut(batches):
         known, grams, nodes, seen, size = _Words(), [], [], set(), 0
-        for batch in batches:
+        for batch in _taken(batches):
             ids, kinds, owners = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = gram_set(text, known, words)
@@ -209,7 +218,7 @@ def _credits(batches):
 def _members(words):
     def members(batches):
         known = _Words()
-        for batch in batches:
+        for batch in _taken(batches):
             nodes, sizes, grams = [], [], []
             for text in batch.column(0).to_pylist():
                 found = gram_set(text, known, words)

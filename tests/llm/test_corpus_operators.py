@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,3 +381,32 @@ def test_letters_of_many_lines_at_once():
     bodies = ["a", "aab" * 9, "日本語 text é" * 3, "\U0001f600 x\x00"]
     want = [sum(1 << c for c in range(32) if sum(ord(x) & 31 == c for x in body) % 2) for body in bodies]
     assert [int(v) & 0xFFFFFFFF for v in line_dedup.letters_of(bodies)] == want
+
+
+def test_signs_lose_no_near_line_and_part_template_lines():
+    """Lines within ``k`` edits pass; lines of one template whose numbers differ mostly do not."""
+    rng = random.Random(41)
+    unsigned = lambda bodies: [int(v) & (1 << 64) - 1 for v in line_dedup.signs_of(bodies)]
+    for k in (1, 2, 3):
+        for _ in range(300):
+            a = "".join(rng.choice("abcd 123é日") for _ in range(rng.randrange(20, 80)))
+            b = changed(rng, a, k, "abcd 123é日")
+            if a and b:
+                x, y = unsigned([a, b])
+                assert line_dedup.may_be_near(x ^ y, k)
+    signs = unsigned([f"line {i} of a long text, which differs in its number {i * 7919}" for i in range(20_000, 20_600)])
+    passed = sum(line_dedup.may_be_near(x ^ y, 2) for n, x in enumerate(signs) for y in signs[:n])
+    assert passed < 600 * 599 // 2 // 20
+
+
+def test_tasks_post_and_cut_in_small_pieces():
+    """What a task holds at once does not grow with the batch it is given."""
+    rng = random.Random(5)
+    bodies = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(9_000)]
+    ids = pa.array(range(len(bodies)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(bodies)], names=["doc", "n", "line", "body"])
+    out = list(line_dedup._poster(2, 20)([batch]))
+    assert len(out) > 4 and {x for b in out for x in b.column("line").to_pylist()} == set(range(len(bodies)))
+    texts = pa.RecordBatch.from_arrays([ids, pa.array(bodies)], names=["doc_id", "text"])
+    rows = [b for b in ngram_join._first_cut(5, 75, 40)([texts]) if b.num_rows and b.column("hits")[0].as_py() < -1]
+    assert max(b.num_rows for b in rows) <= ngram_join.TAKEN and sum(b.num_rows for b in rows) == len(bodies)

@@ -10,7 +10,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from checks.workbooks import column_name, workbook_bytes
+from checks.workbooks import column_name, workbook_bytes, write_workbooks
 from portledger.sources import workbook as wb
 from portledger.sources.inbox import escaped, list_folder, list_path
 from portledger.sources.workbook import LAST, decode_workbooks, grid_of, scan_workbooks, whole_files
@@ -339,3 +339,89 @@ def test_plain_cells_cost_little():
     assert sum(len(b.column("rows")[0]) for b in blocks) == 4000
     calls = sum(entry.callcount for entry in profile.getstats())
     assert calls < 100 * 4000
+
+
+def test_whole_numbers_and_shared_texts_are_read_as_columns():
+    # Calls of Python functions by the row, not by the cell: 14 cells in each of 4,000 rows.
+    rows = {10 + i: [f"a{i}", "b", None, i, *["c"] * 10] for i in range(4000)}
+    content = workbook_bytes({"s": {0: ["title"], **rows}}, shared=True)
+    read = lambda: list(wb._blocks("p", lambda: io.BytesIO(content), None))
+    read()
+    profile = cProfile.Profile()
+    profile.enable()
+    blocks = read()
+    profile.disable()
+    assert sum(entry.callcount for entry in profile.getstats()) < 4 * 4000
+    got = [r for b in blocks for r in b.to_pylist()[0]["rows"]]
+    assert [r["row_idx"] for r in got] == [0, *rows]
+    assert [r["cells"] for r in got[1:]] == [[v if v is None else str(v) for v in row] for row in rows.values()]
+    assert all([h["cells"] for h in b.to_pylist()[0]["head"]] == [["title"]] for b in blocks)
+    assert all(len(b.column("rows")[0]) <= wb.BLOCK_ROWS for b in blocks)
+
+
+@pytest.mark.parametrize(
+    "row, plain",
+    [
+        ('<row r="7"><c r="A7" t="s"><v>0</v></c><c r="AB7"><v>12</v></c><c r="XFD7" t="n"><v>0</v></c></row>', True),
+        ('<row r="7" spans="1:3"><c r="A7" s="1" t="s"><v>0</v></c><c r="B7" s="1"/><c r="C7"></c><c r="D7"><v></v></c></row>', True),
+        ('<row r="7"></row>', True),
+        ('<row r="7"/>', False),
+        ('<row r="7"><c r="B7"><v>1</v></c><c r="A7"><v>2</v></c></row>', False),
+        ('<row r="7"><c r="A7"><v>007</v></c></row>', False),
+        ('<row r="7"><c r="A7"><v>-7</v></c></row>', False),
+        ('<row r="7"><c r="A7"><v>1.5</v></c></row>', False),
+        ('<row r="7"><c r="A7"><v>12345678901234567890</v></c></row>', False),
+        ('<row r="7"><c r="A7" s="1"><v>43845</v></c></row>', False),
+        ('<row r="7"><c r="A7" t="b"><v>1</v></c></row>', False),
+        ('<row r="7"><c r="A7" t="str"><v>é</v></c></row>', False),
+        ('<row r="7"><c r="ABCD7"><v>1</v></c></row>', False),
+        ('<row r="7"><c r="A"><v>1</v></c></row>', None),
+        ('<row r="7"> <c r="A7"><v>1</v></c></row>', None),
+        ('<row r="7"><c r="A7"><v>1</v> </c></row>', None),
+        ('<row r="7"><c r="A7"><f>1</f><v>1</v></c></row>', None),
+    ],
+)
+def test_columns_give_the_rows_of_the_tree(row, plain):
+    # ``plain``: whether the part is read as columns; None where only a tree reads it.
+    first = '<row r="1"><c r="A1" t="s"><v>0</v></c></row>'
+    strings = wb._Strings()
+    strings.extend([b"x"])
+    assert (wb._plain_rows(first + row, strings, True) is not None) == bool(plain)
+    last = '<row r="9"><c r="A9"><v>5</v></c></row>'
+    try:
+        rows, usual = rows_of(SHEET.format(f"<sheetData>{first}{row}{last}</sheetData>"))
+    except ValueError:
+        return
+    assert (rows[0], rows[-1]) == ((0, ["x"], []), (8, ["5"], [])) and usual == (plain is not None)
+
+
+def test_a_number_without_a_shared_text_is_an_error():
+    with pytest.raises(IndexError):
+        rows_of(SHEET.format('<sheetData><row r="1"><c r="A1" t="s"><v>1</v></c></row></sheetData>'))
+
+
+def test_long_texts_still_end_a_block():
+    texts = [f"{i} " + "é" * 30_000 for i in range(300)]
+    content = workbook_bytes({"s": [[t] for t in texts]}, shared=True)
+    blocks = list(wb._blocks("p", lambda: io.BytesIO(content), None))
+    assert len(blocks) > 3 and [r["cells"] for b in blocks for r in b.to_pylist()[0]["rows"]] == [[t] for t in texts]
+
+
+@pytest.mark.parametrize("text", ["plain", "", "한글", "a &amp; b", "&lt;", "tab\there", "\x7f", "]]"])
+def test_shared_texts_of_all_kinds(text):
+    items = [f'<si><t xml:space="preserve">{t}</t></si>' for t in ("one", text, "two")]
+    for some in (items, [i.replace(' xml:space="preserve"', "") for i in items], [items[0], "<si><t>two</t></si>", items[1]]):
+        cells = "".join(f'<c r="{c}1" t="s"><v>{i}</v></c>' for i, c in enumerate("ABC"))
+        strings = f'<sst xmlns="{_main()}">{"".join(some)}</sst>'
+        (row,), _ = rows_of(SHEET.format(f'<sheetData><row r="1">{cells}</row></sheetData>'), strings)
+        assert row[1] == [ElementTree.fromstring(i.replace("xml:", "")).findtext("t") for i in some]
+
+
+def test_texts_written_in_bulk_come_back(spark, tmp_path):
+    rows = [("a.xlsx", i, ["x", None, "", "<&>", f"한글 {i}"] if i % 3 else [None, ""]) for i in range(9)]
+    grid = spark.createDataFrame([*rows, ("b.xlsx", 4, ["only"])], "file string, row_idx int, cells array<string>")
+    folder = write_workbooks(grid, str(tmp_path / "out"), lambda name, rows: {"cover": [["x", "cover"]], "data": rows})
+    blocks, bad = whole_files(scan_workbooks(list_folder(spark, folder), "data"))
+    got = {(r["file"].rsplit("/", 1)[1], r["row_idx"]): r["cells"] for r in grid_of(blocks).collect()}
+    assert bad.count() == 0
+    assert got == {("b.xlsx", 4): ["only"], **{(f, i): ["x", None, None, "<&>", c[4]] for f, i, c in rows if len(c) > 2}}

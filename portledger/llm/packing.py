@@ -115,10 +115,9 @@ def _packer(capacities):
 def lengths(docs):
     """``(doc_id, tie, n_tokens)``: words and one end mark; ``tie`` tells rows of one id apart."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    gap = F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]+", "."))
-    blank = F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]+", ""))
+    words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
     return docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), (gap - blank + 1).cast("long").alias("n_tokens")
+        docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), (words + 1).cast("long").alias("n_tokens")
     )
 
 

@@ -140,13 +140,15 @@ def thresholds(docs):
 def with_repeats(df):
     """Adds ``n_repeat_words``: words in word windows that occur twice or more in their text.
 
-    Window digests are made by doubling: words, pairs, fours, eights. Only the few texts in which two
-    digests are equal go on to compare the windows themselves.
+    Window digests are made by doubling: pairs of words, fours, eights. Only texts in which two fours are equal go on to eights, and
+    the few in which two of these are equal go on to compare the windows themselves.
     """
-    df = df.withColumn("_m", F.transform(F.split("_w", " "), lambda w: F.xxhash64(w)))
-    for k in (1, 2, 4):
-        rest = F.slice("_m", k + 1, F.greatest(F.size("_m") - k, F.lit(0)))
-        df = df.withColumn("_m", F.zip_with("_m", rest, lambda a, b: F.xxhash64(a, b)))
+    after = lambda c, k: F.slice(c, k + 1, F.greatest(F.size(c) - k, F.lit(0)))
+    doubled = lambda c, k: F.zip_with(c, after(c, k), lambda a, b: F.xxhash64(a, b))
+    df = df.withColumn("_m", F.split("_w", " "))
+    for k in (1, 2):
+        df = df.withColumn("_m", doubled("_m", k))
+    df = df.withColumn("_m", F.when(F.size(F.array_distinct("_m")) < F.size("_m"), F.col("_m"))).withColumn("_m", doubled("_m", 4))
     df = df.withColumn("_m", F.slice("_m", 1, F.greatest(F.size("_m") - (WINDOW - 1), F.lit(0))))
     df = df.withColumn("_r", F.when(F.size(F.array_distinct("_m")) < F.size("_m"), F.split("_w", " "))).drop("_m")
     window = lambda i: F.struct(F.array_join(F.slice("_r", i, WINDOW), " ").alias("w"), i.alias("i"))

@@ -64,16 +64,9 @@ class _Words(dict):
         return h
 
 
-def _mix(h):
-    """In place."""
-    h ^= h >> np.uint64(31)
-    h *= _MIX
-    h ^= h >> np.uint64(29)
-    return h
-
-
 def _mixed(h):
-    return _mix(h.copy())
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29))
 
 
 def gram_set(text, known, words=WORDS):
@@ -86,11 +79,8 @@ def gram_set(text, known, words=WORDS):
     width = min(words, len(w))
     h = np.full(len(w) - width + 1, width, np.uint64)
     for k in range(width):
-        h *= _MULTIPLY
-        h += w[k : len(w) - width + 1 + k]
-        _mix(h)
-    h.sort()
-    return h[np.concatenate([[True], h[1:] != h[:-1]])]
+        h = _mixed(h * _MULTIPLY + w[k : len(w) - width + 1 + k])
+    return np.unique(h)
 
 
 def node_of(grams):
